@@ -11,16 +11,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MartConfig
-from ..session import shared_dir
+from ..session import run_together, shared_dir
 
 LOGGED = ("friend_cnt", "frequency", "monetary", "block_cnt")
 FEATURES = ("recency", *(f"{c}_log" for c in LOGGED))
@@ -117,7 +116,7 @@ def scaled_features(general: DataFrame) -> DataFrame:
     return log_features(general).selectExpr("user_id", *scaled)
 
 
-def fit_clusters(general: DataFrame, cfg: MartConfig = MartConfig(), parallelism: int = 4) -> ClusterModel | None:
+def fit_clusters(general: DataFrame, cfg: MartConfig = MartConfig()) -> ClusterModel | None:
     """Best of several starts; clusters are numbered by ascending centre.
 
     Same data, same model: combinations are laid out by their hash and sorted before the
@@ -150,8 +149,7 @@ def fit_clusters(general: DataFrame, cfg: MartConfig = MartConfig(), parallelism
         if n == 1:  # K-means wants two distinct points
             centers = [(0.0,) * len(FEATURES)]
         else:
-            with ThreadPool(min(parallelism, len(seeds))) as pool:
-                runs = pool.map(inheritable_thread_target(spark)(fit), seeds)
+            runs = run_together(spark, [partial(fit, seed) for seed in seeds], cfg.restarts)
             _, _, centers = min(runs, key=lambda run: run[:2])
     finally:
         vectors.unpersist()

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from multiprocessing.pool import ThreadPool
+from functools import partial
 from typing import Protocol
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from ..config import SEQUENTIAL_STAGES, STAGES, TableConfig
 from ..functions.dates import utc_literal
 from ..operators.cleaning import CLEANING, Cleaning
 from ..operators.keys import one_per_key, unseen_in_slice
-from ..session import ensure_session, scratch_dir
+from ..session import ensure_session, run_together, scratch_dir
 from ..sources.store import TableStore
 
 FULL, INCREMENTAL, SKIPPED = "FULL", "INCREMENTAL", "SKIPPED"
@@ -136,13 +135,8 @@ def load_warehouse(
     """
     results: list[LoadResult] = []
     for name, configs in stages.items():
-        def load(cfg: TableConfig) -> LoadResult:
-            return load_table(spark, cfg, source, store, sync_start, options=options)
-
-        width = 1 if name in SEQUENTIAL_STAGES else min(parallelism, len(configs))
-        if width <= 1:
-            results += [load(cfg) for cfg in configs]
-        else:
-            with ThreadPool(width) as pool:
-                results += pool.map(inheritable_thread_target(spark)(load), configs)
+        loads = [
+            partial(load_table, spark, cfg, source, store, sync_start, options=options) for cfg in configs
+        ]
+        results += run_together(spark, loads, 1 if name in SEQUENTIAL_STAGES else parallelism)
     return results

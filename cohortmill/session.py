@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 # Runtime settings. Warehouse DATETIME values carry no zone, so the session zone is pinned
 # to UTC. Timestamps are written as INT64 micros: with the INT96 default, Parquet keeps no
 # usable statistics and a "later than the mark" filter cannot skip a single row group.
@@ -63,3 +69,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_dir(spark)}/cohortmill/{label}-{uuid.uuid4().hex}"
+
+
+def run_together(spark: SparkSession, tasks: Sequence[Callable[[], Result]], width: int) -> list[Result]:
+    """Results of driver functions that each submit jobs, at most ``width`` at a time.
+
+    Every task is wrapped on its own: a wrapper holds one set of job properties, and two
+    threads sharing a set would mix up their executions.
+    """
+    if width <= 1 or len(tasks) <= 1:
+        return [task() for task in tasks]
+    wrapped = [inheritable_thread_target(spark)(task) for task in tasks]
+    with ThreadPool(min(width, len(tasks))) as pool:
+        return pool.map(lambda task: task(), wrapped, chunksize=1)

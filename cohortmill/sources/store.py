@@ -19,7 +19,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,14 +74,23 @@ class TableStore:
     def log(self, table: str | None = None) -> DataFrame:
         """Committed batches of one table or all; empty when nothing was ever written."""
         schema = SYNC_LOG if table is None else _ENTRY
-        try:
-            log = self.spark.read.schema(schema).parquet(self._log_path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = self._log_path(table)
+        if self._on_disk(path):
+            log = self.spark.read.schema(schema).parquet(path)
+        else:
             log = empty_frame(self.spark, schema)
         return log if table is None else log.withColumn("table_name", F.lit(table))
 
+    def _hadoop(self, path: str):
+        """The file system of a path and the path as it knows it."""
+        context = self.spark.sparkContext
+        location = context._jvm.org.apache.hadoop.fs.Path(path)
+        return location.getFileSystem(context._jsc.hadoopConfiguration()), location
+
+    def _on_disk(self, path: str) -> bool:
+        files, location = self._hadoop(path)
+        return files.exists(location)
+
     def commits(self, table: str) -> list[Commit]:
         """Log of one table (its own folder, one small row per batch), oldest first."""
         # The mark travels as text: Python would shift timestamps to the zone of the host.
@@ -199,9 +207,7 @@ class TableStore:
         commits = self.commits(table)
         generations = sorted({c.gen for c in commits})
         old = generations[:-keep] if keep > 0 else []
-        jvm = self.spark.sparkContext._jvm
-        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
         for gen in old:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/gen-{gen}")
-            path.getFileSystem(configuration).delete(path, True)
+            files, location = self._hadoop(f"{self.root}/{table}/gen-{gen}")
+            files.delete(location, True)
         return old
