@@ -141,7 +141,9 @@ def fit_clusters(general: DataFrame, cfg: MartConfig = MartConfig()) -> ClusterM
     vectors.count()
 
     def fit(seed: int):
-        model = KMeans(k=cfg.k, seed=seed, weightCol="weight", maxIter=300, tol=1e-4).fit(vectors)
+        # The row solver copes with fewer starting centres than asked for, the block one fails.
+        trainer = KMeans(k=min(cfg.k, n), seed=seed, weightCol="weight", maxIter=300, tol=1e-4, solver="row")
+        model = trainer.fit(vectors)
         return model.summary.trainingCost, seed, [tuple(float(x) for x in c) for c in model.clusterCenters()]
 
     seeds = range(cfg.seed, cfg.seed + cfg.restarts)

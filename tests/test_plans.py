@@ -1,0 +1,83 @@
+"""The plans the operators are meant to have."""
+
+import re
+
+import pytest
+
+from cohortmill.catalog import bindings as b
+from cohortmill.catalog.bindings import Bound
+from cohortmill.operators import profile, timeseries
+from cohortmill.operators.keys import unseen, unseen_in_slice
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def bound(spark):
+    """No broadcast, as with large tables; adaptive execution off, to see the whole plan."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "1000"}
+    t = Bound(spark, FOLDER)
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield t
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def count(text, operator):
+    return len(re.findall(rf"\b{operator}\b", text))
+
+
+def test_four_summaries_share_one_exchange(bound):
+    text = plan(profile.activity_summary(bound.votes, bound.payments, bound.blocks, bound.points, b.CONFIG.window))
+    assert count(text, "Exchange") == 1 and "partial_max" in text and "partial_sum" in text
+
+
+def test_profile_adds_one_exchange_for_the_users(bound):
+    text = plan(bound.profile)
+    assert count(text, "Exchange hashpartitioning") == 2 and count(text, "SortMergeJoin") == 1
+
+
+def test_filters_and_columns_reach_the_scan(bound):
+    text = plan(profile.vote_summary(bound.votes, b.CONFIG.window))
+    assert "GreaterThanOrEqual(ts" in text and "LessThanOrEqual(ts" in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
+
+
+def test_facts_are_reduced_before_the_join(bound):
+    weeks = timeseries.user_weeks(b.CONFIG, votes=bound.votes)
+    lines = plan(timeseries.weekly_facts(weeks, bound.cluster_map, b.CONFIG)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    below = "\n".join(lines[join:])
+    above = "\n".join(lines[:join])
+    assert re.search(r"keys=\[user_id#\d+L, week_start#\d+\], functions=\[partial_", below)
+    assert "partial_sum(votes" in above and "Exchange hashpartitioning(week_start" in above
+
+
+@pytest.mark.parametrize("name", ["profile", "cluster_map", "days", "clean"])
+def test_no_python_in_the_plan(bound, name):
+    text = plan(getattr(bound, name))
+    assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_series_has_no_cross_or_range_join(bound):
+    series = timeseries.activity_timeseries(
+        bound.votes, bound.payments, bound.points, bound.days, bound.clean, bound.cluster_map, b.CONFIG)
+    text = plan(series)
+    assert "Cartesian" not in text and "NestedLoop" not in text and "Python" not in text
+
+
+def test_only_keys_of_the_stored_side_are_read(bound):
+    text = plan(unseen(bound.events, bound.events, ["event_id"]))
+    assert "ReadSchema: struct<event_id:bigint>" in text
+
+
+def test_stored_keys_are_pruned_to_the_range_of_the_slice(bound):
+    text = plan(unseen_in_slice(bound.events.where("event_id > 900"), bound.events, "event_id"))
+    assert "GreaterThanOrEqual(event_id,901)" in text
