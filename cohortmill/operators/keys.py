@@ -9,21 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
-    """Equality of aliased sides in which NULL equals NULL."""
-    return reduce(
-        lambda a, b: a & b, (F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys)
-    )
-
-
-def unseen(candidates: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unseen(candidates: DataFrame, stored: DataFrame, keys: Sequence[str], *, nullable: bool = False) -> DataFrame:
     """Candidates whose key is not stored. Only the key columns of ``stored`` are read.
 
     Duplicates inside the candidates are kept. The planner broadcasts the stored keys when
-    their measured size allows, else both sides meet by hash of the key.
+    their measured size allows, else both sides meet by hash of the key. ``nullable`` makes
+    NULL equal NULL, for keys that no contract declares NOT NULL.
     """
     keys = list(keys)
-    return candidates.alias("c").join(stored.select(*keys).alias("s"), same_key("c", "s", keys), "left_anti")
+    if not nullable:
+        return candidates.join(stored.select(*keys), keys, "left_anti")
+    same = reduce(Column.__and__, (F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys))
+    return candidates.alias("c").join(stored.select(*keys).alias("s"), same, "left_anti")
 
 
 def unseen_in_slice(candidates: DataFrame, stored: DataFrame, key: str) -> DataFrame:
@@ -32,22 +29,27 @@ def unseen_in_slice(candidates: DataFrame, stored: DataFrame, key: str) -> DataF
     Only stored keys inside the candidates' key range can match, a filter that skips the
     row groups (usually all old ones, since keys ascend) by their statistics. Of the rest
     only those that do match are kept before the difference is taken, so what is compared
-    is bounded by the candidates. ``candidates`` is read more than once: pass written data.
+    is bounded by the candidates. Rows without a key take no part in the join: one look at
+    the table tells whether it holds such a row already. ``candidates`` is read more than
+    once: pass written data.
     """
-    low, high = F.min(key).alias("low"), F.max(key).alias("high")
-    bounds = candidates.agg(low, high, F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed")).first()
-    if not bounds["rows"]:
-        return candidates
-    in_range = F.lit(False)
-    if bounds["low"] is not None:
-        in_range = F.col(key).between(F.lit(bounds["low"]), F.lit(bounds["high"]))
-    if bounds["keyed"] < bounds["rows"]:
-        in_range = in_range | F.col(key).isNull()
-    near = stored.select(key).where(in_range).alias("s")
-    wanted = candidates.select(key).alias("c")
-    # A stored key may repeat without limit; one copy of it says as much.
-    hits = near.join(wanted, same_key("s", "c", [key]), "left_semi").distinct()
-    return unseen(candidates, hits, [key])
+    bounds = candidates.agg(
+        F.min(key).alias("low"), F.max(key).alias("high"),
+        F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed"),
+    ).first()
+    low, high, rows, keyed = bounds
+    fresh = candidates.where(F.col(key).isNotNull())
+    if keyed:
+        near = stored.select(key).where(F.col(key).between(F.lit(low), F.lit(high)))
+        # A stored key may repeat without limit; one copy of it says as much.
+        hits = near.join(fresh.select(key), key, "left_semi").distinct()
+        fresh = fresh.join(hits, key, "left_anti")
+    if keyed == rows:
+        return fresh
+    missing = F.col(key).isNull()
+    if stored.select(key).where(missing).isEmpty():
+        fresh = fresh.unionByName(candidates.where(missing))
+    return fresh
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -30,6 +30,7 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cohortmill")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
         # Recording the Python line of every column costs more than the column itself.
