@@ -1,16 +1,31 @@
 """Small tables from text literals, and results as plain values."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 
+def literal(value):
+    if value is None:
+        return "null"
+    if isinstance(value, float):
+        return f"{value!r}D"
+    if isinstance(value, date):
+        return f"date'{value}'"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def table(spark, columns, *rows):
-    """Rows of Python values; a ``timestamp`` column takes text, read as UTC."""
+    """Rows of Python values as an inline table; a ``timestamp`` column takes text, read as UTC."""
     kinds = dict(c.split(":") for c in columns.split())
-    raw = ", ".join(f"{n} {'string' if k == 'timestamp' else k}" for n, k in kinds.items())
-    df = spark.createDataFrame(list(rows), raw)
-    return df.select(*(F.col(n).cast(k).alias(n) for n, k in kinds.items()))
+    body = ", ".join(f"({', '.join(map(literal, r))})" for r in rows)
+    if not rows:
+        body = f"({', '.join(['null'] * len(kinds))})"
+    casts = ", ".join(f"cast({n} as {k}) as {n}" for n, k in kinds.items())
+    df = spark.sql(f"select {casts} from values {body} as t({', '.join(kinds)})")
+    return df if rows else df.limit(0)
 
 
 def values(df, *columns):
