@@ -221,5 +221,5 @@ def activity_timeseries(
 
 
 def dashboard_extract(timeseries: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
-    """Rows from the start of the analysis on."""
-    return timeseries.where(F.col("week_start") >= F.lit(cfg.window.start))
+    """Rows from the start of the analysis on, each cluster in order of its weeks."""
+    return timeseries.where(F.col("week_start") >= F.lit(cfg.window.start)).orderBy("cluster", "week_start")

@@ -15,7 +15,7 @@ from ..config import SEQUENTIAL_STAGES, STAGES, TableConfig
 from ..functions.dates import utc_literal
 from ..operators.cleaning import CLEANING, Cleaning
 from ..operators.keys import one_per_key, unseen_in_slice
-from ..session import ensure_session, run_together, scratch_dir
+from ..session import ensure_session, run_together, written_once
 from ..sources.store import TableStore
 
 FULL, INCREMENTAL, SKIPPED = "FULL", "INCREMENTAL", "SKIPPED"
@@ -107,12 +107,11 @@ def load_table(
             written = store.record(target, batch, commits[-1].schema, sync_start)
         else:
             written = store.replace(target, rows, batch, sync_start)
+    elif cfg.pk and cfg.pk in rows.columns:
+        with written_once(rows, f"{target}-{batch}") as staged:
+            fresh = unseen_in_slice(staged, store.read(target), cfg.pk)
+            written = store.append(target, fresh, batch, sync_start)
     else:
-        if cfg.pk and cfg.pk in rows.columns:
-            staged = scratch_dir(spark, f"{target}-{batch}")
-            rows.write.parquet(staged)
-            rows = spark.read.schema(rows.schema).parquet(staged)
-            rows = unseen_in_slice(rows, store.read(target), cfg.pk)
         written = store.append(target, rows, batch, sync_start)
     return LoadResult(cfg.name, written.rows, mode)
 

@@ -13,7 +13,7 @@ from ..config import WAREHOUSE_PREFIX, MartConfig
 from ..operators import cleaning, clusters, profile, timeseries
 from ..operators.keys import overwrite_rows, unseen
 from ..schemas import CLUSTERS, SUPER_USERS, TIMESERIES, Contract, conform
-from ..session import ensure_session, scratch_dir
+from ..session import ensure_session, written_once
 from ..sources.store import Batch, TableStore
 from .load import batch_id
 from .replica import sync_replica
@@ -56,9 +56,10 @@ class Warehouse:
 def append_new(store: TableStore, contract: Contract, df: DataFrame, batch: str,
                keys: Sequence[str] | None = None) -> Batch:
     """Append rows whose key the mart lacks; a second run adds nothing."""
+    keys = keys or contract.key
     stored = store.read(contract.name, contract)
-    rows = conform(unseen(conform(df, contract, enforce=False), stored, keys or contract.key), contract)
-    return store.append(contract.name, rows, batch)
+    rows = conform(unseen(conform(df, contract, enforce=False), stored, keys), contract)
+    return store.append(contract.name, rows, batch, key=keys)
 
 
 def refresh_rows(store: TableStore, contract: Contract, df: DataFrame, batch: str,
@@ -67,18 +68,14 @@ def refresh_rows(store: TableStore, contract: Contract, df: DataFrame, batch: st
     stored = store.read(contract.name, contract)
     if moved is not None:
         stored = unseen(stored, moved, contract.key)
-    return store.replace(contract.name, overwrite_rows(stored, conform(df, contract), contract.key), batch)
+    rows = overwrite_rows(stored, conform(df, contract), contract.key)
+    return store.replace(contract.name, rows, batch, key=contract.key)
 
 
-def build_profile(spark: SparkSession, warehouse: Warehouse, cfg: MartConfig) -> DataFrame:
-    """The profile, written to the shared folder: both marts and every pass of the fit read
-    it, and a lost executor costs a reread instead of all facts again."""
+def build_profile(warehouse: Warehouse, cfg: MartConfig) -> DataFrame:
     users = cleaning.clean_users(warehouse.users, cfg)
-    built = profile.user_profile(
+    return profile.user_profile(
         users, warehouse.votes, warehouse.payments, warehouse.blocks, warehouse.points, cfg)
-    path = scratch_dir(spark, "profile")
-    built.write.parquet(path)
-    return spark.read.schema(built.schema).parquet(path)
 
 
 def update_super_users(mart: TableStore, people: DataFrame, batch: str, *, refresh: bool = False) -> Batch:
@@ -145,12 +142,13 @@ def run_activity_mart(
     """Profile and clusters, then the time series, then the replica. Rows written per table."""
     ensure_session(spark)
     tables, batch = Warehouse(warehouse), batch_id(run_at)
-    people = build_profile(spark, tables, cfg)
-    written = [
-        update_super_users(mart, people, batch, refresh=refresh),
-        update_clusters(mart, people, cfg, batch, refit=refit, refresh=refresh),
-        update_timeseries(tables, mart, cfg, batch, refresh=refresh),
-    ]
+    # Both user marts and every pass of the fit read the profile.
+    with written_once(build_profile(tables, cfg), "profile") as people:
+        written = [
+            update_super_users(mart, people, batch, refresh=refresh),
+            update_clusters(mart, people, cfg, batch, refit=refit, refresh=refresh),
+        ]
+    written.append(update_timeseries(tables, mart, cfg, batch, refresh=refresh))
     if replica is not None:
         written += sync_replica(mart, replica, batch, refresh=refresh or refit)
     return written

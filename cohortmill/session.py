@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 Result = TypeVar("Result")
 
@@ -72,6 +73,30 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/cohortmill/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()), location
+
+
+@contextmanager
+def written_once(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder, deleted on exit.
+
+    For data that several jobs read: each reads what was computed once, a lost executor
+    costs a reread, and a source that keeps changing cannot show two faces.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    files, location = hadoop_path(spark, path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        files.delete(location, True)
+
+
 def run_together(spark: SparkSession, tasks: Sequence[Callable[[], Result]], width: int) -> list[Result]:
     """Results of driver functions that each submit jobs, at most ``width`` at a time.
 

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import utc_literal
 from ..schemas import SYNC_LOG, SYNC_LOG_TABLE, Contract, empty_frame
+from ..session import hadoop_path
 
 
 # A log file names no table; its folder does.
@@ -35,6 +36,10 @@ class SchemaDrift(ValueError):
     """An append whose columns differ from those of the stored table."""
 
 
+class DuplicateKey(ValueError):
+    """A batch that holds a key more than once."""
+
+
 @dataclass(frozen=True)
 class Commit:
     """One row of the log."""
@@ -81,14 +86,8 @@ class TableStore:
             log = empty_frame(self.spark, schema)
         return log if table is None else log.withColumn("table_name", F.lit(table))
 
-    def _hadoop(self, path: str):
-        """The file system of a path and the path as it knows it."""
-        context = self.spark.sparkContext
-        location = context._jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(context._jsc.hadoopConfiguration()), location
-
     def _on_disk(self, path: str) -> bool:
-        files, location = self._hadoop(path)
+        files, location = hadoop_path(self.spark, path)
         return files.exists(location)
 
     def commits(self, table: str) -> list[Commit]:
@@ -153,17 +152,18 @@ class TableStore:
             return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def replace(self, table: str, df: DataFrame, batch: str,
-                synced_at: datetime | None = None) -> Batch:
+    def replace(self, table: str, df: DataFrame, batch: str, synced_at: datetime | None = None,
+                key: Sequence[str] = ()) -> Batch:
         """New generation holding ``df`` alone. ``df`` may read the table's current one."""
-        return self._write(table, df, batch, synced_at, new_generation=True)
+        return self._write(table, df, batch, synced_at, key, new_generation=True)
 
-    def append(self, table: str, df: DataFrame, batch: str,
-               synced_at: datetime | None = None) -> Batch:
-        return self._write(table, df, batch, synced_at, new_generation=False)
+    def append(self, table: str, df: DataFrame, batch: str, synced_at: datetime | None = None,
+               key: Sequence[str] = ()) -> Batch:
+        """New batch; one that repeats a ``key`` is not committed."""
+        return self._write(table, df, batch, synced_at, key, new_generation=False)
 
     def _write(self, table: str, df: DataFrame, batch: str, synced_at: datetime | None,
-               new_generation: bool) -> Batch:
+               key: Sequence[str], new_generation: bool) -> Batch:
         commits = self.commits(table)
         done = next((c for c in commits if c.batch == batch), None)
         if done is not None:
@@ -174,10 +174,13 @@ class TableStore:
             raise SchemaDrift(f"{table}: {df.schema.simpleString()} onto {last.schema.simpleString()}")
         # The metric sits in the writing stage itself, whose task results are taken once per
         # partition, so retried tasks are not counted twice and no second scan is needed.
-        written = Observation()
-        (df.observe(written, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").parquet(self._path(table, gen, batch)))
+        written, path = Observation(), self._path(table, gen, batch)
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         rows = written.get["rows"]
+        if key and rows:
+            keys = self.spark.read.schema(df.schema).parquet(path).groupBy(*key).count()
+            if not keys.where(F.col("count") > 1).isEmpty():
+                raise DuplicateKey(f"{table}: batch {batch} repeats {', '.join(key)}")
         seq = 0 if last is None else last.seq + 1
         self._commit(table, seq, gen, batch, df.schema, synced_at, rows)
         return Batch(table, rows, committed=True)
@@ -208,6 +211,6 @@ class TableStore:
         generations = sorted({c.gen for c in commits})
         old = generations[:-keep] if keep > 0 else []
         for gen in old:
-            files, location = self._hadoop(f"{self.root}/{table}/gen-{gen}")
+            files, location = hadoop_path(self.spark, f"{self.root}/{table}/gen-{gen}")
             files.delete(location, True)
         return old

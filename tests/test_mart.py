@@ -8,6 +8,8 @@ from cohortmill import TABLES, AnalysisWindow, MartConfig, TableStore, load_tabl
 from cohortmill.operators.clusters import MODEL_TABLE
 from cohortmill.plans.mart import append_new
 from cohortmill.schemas import CLUSTERS, MARTS, SUPER_USERS, TIMESERIES
+from cohortmill.session import hadoop_path, written_once
+from cohortmill.sources.store import DuplicateKey
 
 CFG = replace(
     MartConfig(), window=AnalysisWindow(date(2023, 5, 27), date(2023, 6, 21)), super_votes=10, k=2, restarts=2,
@@ -116,3 +118,20 @@ def test_append_new_checks_the_contract(spark, store):
     append_new(store, CLUSTERS, df, "b0")
     assert values(store.read(CLUSTERS.name)) == [(1, 0, 2.0, 0.0, 0.0, 0, 3)]
     assert append_new(store, CLUSTERS, df, "b1").rows == 0
+
+
+def test_a_repeated_key_is_not_committed(spark, store):
+    row = (1, 0, 2.0, 0.0, 0.0, 0, 3)
+    columns = ("user_id:bigint friend_cnt:int recency:double frequency:double monetary:double block_cnt:int"
+               " cluster:int")
+    with pytest.raises(DuplicateKey):
+        append_new(store, CLUSTERS, table(spark, columns, row, row), "b0")
+    assert not store.exists(CLUSTERS.name)
+
+
+def test_scratch_data_is_gone_afterwards(spark):
+    with written_once(table(spark, "x:int", (1,), (2,)), "test") as df:
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        files, location = hadoop_path(spark, path)
+        assert df.count() == 2 and files.exists(location)
+    assert not files.exists(location)
