@@ -41,8 +41,8 @@ def unseen_in_slice(candidates: DataFrame, stored: DataFrame, key: str) -> DataF
     fresh = candidates.where(F.col(key).isNotNull())
     if keyed:
         near = stored.select(key).where(F.col(key).between(F.lit(low), F.lit(high)))
-        # A stored key may repeat without limit; one copy of it says as much.
-        hits = near.join(fresh.select(key), key, "left_semi").distinct()
+        # A key may repeat without limit on either side; one copy of it says as much.
+        hits = near.join(fresh.select(key).distinct(), key, "left_semi").distinct()
         fresh = fresh.join(hits, key, "left_anti")
     if keyed == rows:
         return fresh

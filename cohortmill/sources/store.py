@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import utc_literal
 from ..schemas import SYNC_LOG, SYNC_LOG_TABLE, Contract, empty_frame
-from ..session import hadoop_path
+from ..session import ensure_session, hadoop_path
 
 
 # A log file names no table; its folder does.
@@ -67,7 +67,7 @@ def _shape(schema: T.StructType) -> list[tuple[str, str]]:
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark = ensure_session(spark)
         self.root = root.rstrip("/")
 
     # ---- log -------------------------------------------------------------------------
