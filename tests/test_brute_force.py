@@ -1,0 +1,138 @@
+"""Profile and time series against a plain Python reading of their definitions, on random data."""
+
+import random
+from collections import Counter, defaultdict
+from dataclasses import replace
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import ATTENDANCE, events, payments, points, table, user, users
+
+from cohortmill.config import PRICE_MAP, AnalysisWindow, MartConfig
+from cohortmill.operators.cleaning import attendance_days, clean_users
+from cohortmill.operators.profile import GENERAL, SUPER, user_profile
+from cohortmill.operators.timeseries import activity_timeseries
+
+CFG = replace(
+    MartConfig(), window=AnalysisWindow(date(2023, 5, 27), date(2023, 7, 5)), super_votes=40, outlier_votes=12)
+START, END = CFG.window.start_ts, CFG.window.end_ts
+
+
+def monday(ts):
+    return (ts - timedelta(days=ts.weekday())).date()
+
+
+def inside(rows):
+    return [r for r in rows if r[0] is not None and START <= r[1] <= END]
+
+
+class Data:
+    def __init__(self, seed):
+        rng = random.Random(seed)
+        self.people = range(1, 25)
+        # One user holds a third of the votes; some rows have no user or an unknown one.
+        everyone = [*self.people, None, 99]
+
+        def moment():
+            day = START + timedelta(days=rng.randint(-5, 45))
+            return day if rng.random() < 0.2 else day + timedelta(seconds=rng.randint(0, 86399))
+
+        self.signup = {u: START + timedelta(days=rng.randint(-60, 60), hours=rng.choice([0, 10])) for u in self.people}
+        self.friends = {u: rng.randint(0, 4) for u in self.people}
+        self.votes = [(7 if i % 3 == 0 else rng.choice(everyone), moment()) for i in range(300)]
+        self.pays = [(rng.choice(everyone), moment(), rng.choice([*PRICE_MAP, "other", None])) for _ in range(80)]
+        self.blocks = [(rng.choice(everyone), moment()) for _ in range(60)]
+        self.moves = [(rng.choice(everyone), moment(), rng.randint(-50, 50)) for _ in range(150)]
+        self.attended = {u: sorted({moment().date() for _ in range(rng.randint(0, 6))}) for u in self.people}
+        self.cluster = {u: u % 6 for u in self.people if u != 3}
+
+    def frames(self, spark):
+        clean = clean_users(users(spark, *(
+            user(u, created_at=str(self.signup[u]), friend_id_list=str(list(range(self.friends[u]))))
+            for u in self.people)))
+        days = attendance_days(table(spark, ATTENDANCE, *(
+            (u, u, str([str(d) for d in self.attended[u]])) for u in self.people)))
+        votes, blocks = (events(spark, *((u, str(t)) for u, t in r)) for r in (self.votes, self.blocks))
+        pays = payments(spark, *((u, str(t), p) for u, t, p in self.pays))
+        moves = points(spark, *((u, str(t), d) for u, t, d in self.moves))
+        return clean, days, votes, blocks, pays, moves
+
+
+@pytest.fixture(scope="module", params=[1, 2])
+def case(request, spark):
+    data = Data(request.param)
+    return data, data.frames(spark)
+
+
+def test_profile(spark, case):
+    data, (clean, _, votes, blocks, pays, moves) = case
+    got = {r.user_id: r for r in user_profile(clean, votes, pays, blocks, moves, CFG).collect()}
+    assert set(got) == set(data.people)
+    count = {n: Counter(r[0] for r in inside(rows)) for n, rows in
+             (("votes", data.votes), ("pays", data.pays), ("blocks", data.blocks))}
+    for u, row in got.items():
+        own = [t for v, t in inside(data.votes) if v == u]
+        since = (END - max(own)).days if own else min((END - data.signup[u]).days, CFG.window.max_days)
+        assert row.recency == max(since, 0) and 0 <= row.recency <= CFG.window.max_days
+        assert (row.frequency, row.monetary, row.block_cnt) == (
+            count["votes"][u], count["pays"][u], count["blocks"][u])
+        assert row.point_flow == sum(d for v, _, d in inside(data.moves) if v == u)
+        assert row.user_type == (SUPER if count["votes"][u] >= CFG.super_votes else GENERAL)
+        assert row.friend_cnt == data.friends[u]
+
+
+def test_series(spark, case):
+    data, (clean, days, votes, _, pays, moves) = case
+    cluster_map = table(spark, "user_id:bigint cluster:int", *data.cluster.items())
+    rows = activity_timeseries(votes, pays, moves, days, clean, cluster_map, CFG).collect()
+    got = {(r.week_start, r.cluster): r for r in rows}
+    weeks = [CFG.window.first_monday + timedelta(days=7 * i) for i in range(6)]
+    assert len(rows) == len(got) and set(got) == {(w, c) for w in weeks for c in CFG.targets}
+    attended = [(u, datetime(d.year, d.month, d.day)) for u, listed in data.attended.items() for d in listed]
+    for c in CFG.targets:
+        flow = burn = 0
+        previous = 0
+        for number, w in enumerate(weeks, 1):
+            row = got[w, c]
+
+            def here(facts):
+                return [f for f in inside(facts) if data.cluster.get(f[0]) == c and monday(f[1]) == w]
+
+            voted, acted = here(data.votes), here(data.votes) + here(attended)
+            per_user = Counter(u for u, _ in voted)
+            kept = {u: n for u, n in per_user.items() if n < CFG.outlier_votes}
+            deltas = [d for _, _, d in here(data.moves)]
+            active = len({u for u, _ in acted})
+            cutoff = datetime(w.year, w.month, w.day) + timedelta(days=6)
+            cum = sum(data.cluster.get(u) == c and data.signup[u] <= cutoff for u in data.people)
+            flow, burn = flow + sum(deltas), burn + sum(-d for d in deltas if d < 0)
+            assert row.week_label == f"{w} (W{number})"
+            assert row.revenue == sum(PRICE_MAP.get(p, 0) for _, _, p in here(data.pays))
+            assert (row.vote_cnt, row.vote_user_cnt, row.vote_cnt_raw) == (sum(kept.values()), len(kept), len(voted))
+            assert (row.active_users, row.cum_users) == (active, cum)
+            assert row.pure_attendance_cnt == active - len(kept)
+            assert (row.net_flow, row.point_burn) == (sum(deltas), sum(-d for d in deltas if d < 0))
+            assert (row.cumulative_net_flow, row.cumulative_burn) == (flow, burn)
+            assert (row.last_act is None) == (not acted)
+            assert row.war == pytest.approx(active / cum * 100 if cum else 0)
+            assert row.arpu == pytest.approx(row.revenue / active if active else 0)
+            assert row.votes_per_user == pytest.approx(row.vote_cnt / active if active else 0)
+            assert row.vpu == pytest.approx(len(voted) / active if active else 0)
+            assert row.vote_cnt <= row.vote_cnt_raw and row.cum_users >= previous
+            previous = row.cum_users
+
+
+def test_last_activity(spark, case):
+    data, (clean, days, votes, _, pays, moves) = case
+    cluster_map = table(spark, "user_id:bigint cluster:int", *data.cluster.items())
+    rows = activity_timeseries(votes, pays, moves, days, clean, cluster_map, CFG).selectExpr(
+        "week_start", "cluster", "cast(last_act as string) as last_act").collect()
+    attended = [(u, datetime(d.year, d.month, d.day)) for u, listed in data.attended.items() for d in listed]
+    latest = defaultdict(lambda: None)
+    for u, t in inside(data.votes + attended):
+        key = (monday(t), data.cluster.get(u))
+        latest[key] = max(latest[key] or t, t)
+    assert any(r.last_act for r in rows)
+    for r in rows:
+        want = latest[r.week_start, r.cluster]
+        assert r.last_act == (None if want is None else str(want))
