@@ -132,7 +132,7 @@ def weekly_facts(weeks: DataFrame, cluster_map: DataFrame, cfg: MartConfig) -> D
 def weekly_signups(users: DataFrame, cluster_map: DataFrame, cfg: MartConfig) -> DataFrame:
     """Distinct clean users of a cluster by the first week that includes their sign-up.
 
-    Earlier users belong to the first week.
+    Earlier users belong to the first week, later ones to none.
     """
     first_seen = (
         users.select("user_id", "created_at")
@@ -142,7 +142,12 @@ def weekly_signups(users: DataFrame, cluster_map: DataFrame, cfg: MartConfig) ->
     )
     week = F.greatest(
         cutoff_week(F.col("created_at"), cfg.signup_cutoff), F.lit(cfg.frame_window.first_monday))
-    return first_seen.groupBy(week.alias("week_start"), "cluster").agg(F.count(F.lit(1)).alias("joined"))
+    return (
+        first_seen.select("cluster", week.alias("week_start"))
+        .where(F.col("week_start") <= F.lit(cfg.window.end))
+        .groupBy(*KEY)
+        .agg(F.count(F.lit(1)).alias("joined"))
+    )
 
 
 def _running(column: str) -> Column:
@@ -152,8 +157,8 @@ def _running(column: str) -> Column:
 
 
 def _on_frame(frame: DataFrame, totals: DataFrame) -> DataFrame:
-    """Weekly totals on the frame. Totals hold at most one row per frame row and per week
-    outside it, a bound set by the parameters and not by the data, hence the broadcast."""
+    """Weekly totals on the frame. Totals hold one row per week of the window and target
+    cluster at most, a bound set by the parameters and not by the data, hence the broadcast."""
     return frame.join(F.broadcast(totals), list(KEY), "left")
 
 
