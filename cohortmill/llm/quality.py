@@ -103,9 +103,10 @@ def _measured(docs: DataFrame) -> DataFrame:
             F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("ordered"))
     places = ordered.withColumn("places", F.sort_array(
         F.transform(neighbours(F.col("ordered")), lambda w: w["i"])))
-    return places.select(
-        "row", *MEASURES[:-1],
-        F.coalesce(covered(F.col("places")), F.lit(0)).cast("bigint").alias("n_repeat_words"))
+    repeats = F.coalesce(covered(F.col("places")), F.lit(0)).cast("bigint").alias("n_repeat_words")
+    # The generator of one row keeps the optimizer from moving a filter on the measurements below
+    # the projections above, where it would work them all out again for every window.
+    return places.select("row", F.explode(F.array(F.struct(*MEASURES[:-1], repeats))).alias("m")).select("row", "m.*")
 
 
 def ledger(docs: DataFrame) -> DataFrame:
