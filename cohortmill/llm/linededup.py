@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bloom import twice_seen
-from .common import WS, whole
+from .common import WS, scratch_table, whole
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -95,7 +95,7 @@ def drop_repeated_lines(
     docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
     """``row`` with all columns of a document, ``n_lines``, ``n_dropped`` and the ``text`` kept."""
-    found = suspects(docs, min_chars)
+    found = scratch_table(suspects(docs, min_chars), "suspects")  # read twice: to count, and to drop
     losses = found.join(condemned(found, min_documents), "key").where("doc_id <> keeper").groupBy(
         "doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("drop"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"),
