@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import AnalysisWindow, MartConfig, TableConfig, Tier
 from ..operators.cleaning import attendance_days, clean_users
 from ..operators.clusters import ClusterModel, score
-from ..operators.profile import general_users, user_profile
+from ..operators.profile import activity_summary, general_users, user_profile
 from ..session import ensure_session
 from ..sources.files import FileSource, read_table, zoned
 
@@ -46,6 +46,9 @@ MODEL = ClusterModel(
 )
 
 
+# A short code for the whole text of a segment; a text that is none of them shows as such.
+_SEGMENT = ("case c_mktsegment when 'AUTOMOBILE' then 'auto' when 'BUILDING' then 'build' when 'FURNITURE' then 'furn'"
+            " when 'HOUSEHOLD' then 'house' when 'MACHINERY' then 'mach' else 'other' end")
 _K = "cast(get_json_object(props, '$.k') as int)"
 
 
@@ -67,7 +70,7 @@ class Bound:
     def users(self) -> DataFrame:
         return read_table(self.spark, self.folder, "customer").selectExpr(
             "c_custkey as id",
-            "if(c_custkey % 31 = 0, null, left(c_mktsegment, 5)) as gender",
+            f"if(c_custkey % 31 = 0, null, {_SEGMENT}) as gender",
             "if(c_custkey % 37 = 0, null, c_nationkey) as group_id",
             "cast(round(c_acctbal * 100) as bigint) * 105 as point",
             "cast(c_custkey % 50 = 0 as int) as is_staff",
@@ -111,6 +114,22 @@ class Bound:
             "user_id as id", "user_id",
             "concat('[', array_join(sort_array(days), ', '), ']') as attendance_date_list")
 
+    @cached_property
+    def broken_users(self) -> DataFrame:
+        """Users, some with list text that no parser accepts."""
+        return self.users.withColumn("friend_id_list", F.expr("""case
+            when friend_id_list is null then null
+            when id % 41 = 0 then '[1, 2' when id % 43 = 0 then '[1] [2]' when id % 47 = 0 then '[1,2]xyz'
+            else friend_id_list end"""))
+
+    @cached_property
+    def broken_attendance(self) -> DataFrame:
+        """Attendance, some lists broken and some with a day in a spelling that is not known."""
+        return self.attendance.withColumn("attendance_date_list", F.expr("""case
+            when user_id % 11 = 0 then '["2024-01-03"'
+            when user_id % 7 = 0 then '["2024-01-03", "2024/01/04", "soon"]'
+            else attendance_date_list end"""))
+
     @cached_property
     def hackle_events(self) -> DataFrame:
         return self.events.withColumnRenamed("ts", "event_datetime")
@@ -138,6 +157,10 @@ class Bound:
     def days(self) -> DataFrame:
         return attendance_days(self.attendance)
 
+    @cached_property
+    def summary(self) -> DataFrame:
+        return activity_summary(self.votes, self.payments, self.blocks, self.points, CONFIG.window)
+
     def profile_of(self, cfg: MartConfig) -> DataFrame:
         return user_profile(self.clean, self.votes, self.payments, self.blocks, self.points, cfg)
 

@@ -10,7 +10,9 @@ from . import bindings as b
 
 USERS = """users AS (
   SELECT c_custkey AS id,
-    CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE left(c_mktsegment, 5) END AS gender,
+    CASE WHEN c_custkey % 31 = 0 THEN NULL
+         ELSE CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'auto' WHEN 'BUILDING' THEN 'build' WHEN 'FURNITURE' THEN 'furn'
+              WHEN 'HOUSEHOLD' THEN 'house' WHEN 'MACHINERY' THEN 'mach' ELSE 'other' END END AS gender,
     CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE c_nationkey END AS group_id,
     CAST(round(c_acctbal * 100) AS BIGINT) * 105 AS point,
     CAST(c_custkey % 50 = 0 AS INT) AS is_staff,
@@ -319,6 +321,13 @@ SELECT {SUPER_COLUMNS} FROM profile_late WHERE user_type = 'Super'
             EV, POINTS, LINKED_POINTS, select="SELECT *, CAST(created_at AS DATE) AS dt FROM linked_points"),
         "clean_users": _with(USERS, _clean(), select="SELECT * FROM clean"),
         "attendance_days": _with(EV, ATTENDANCE, DAYS, select="SELECT * FROM days"),
+        "broken_text_counts": _with(
+            USERS, EV, ATTENDANCE,
+            select="""SELECT 'accounts_user' AS source, 'list' AS fault, count(*) AS n_values FROM users
+  WHERE friend_id_list IS NOT NULL AND (id % 41 = 0 OR id % 43 = 0 OR id % 47 = 0)
+UNION ALL SELECT 'accounts_attendance', 'list', count(*) FROM attendance WHERE user_id % 11 = 0
+UNION ALL SELECT 'accounts_attendance', 'date', 2 * count(*) FROM attendance
+  WHERE user_id % 7 = 0 AND user_id % 11 <> 0"""),
         "vote_summary": _with(*FACTS, _summaries(cfg), select="SELECT * FROM vote_sum"),
         "payment_summary": _with(*FACTS, _summaries(cfg), select="SELECT * FROM pay_sum"),
         "block_summary": _with(*FACTS, _summaries(cfg), select="SELECT * FROM block_sum"),

@@ -49,12 +49,12 @@ def _timeseries(t: Bound, cfg: MartConfig = b.CONFIG) -> DataFrame:
 
 @query
 def preprocess_user(t):
-    return cleaning.preprocess_users(t.users)
+    return cleaning.CLEANING["users"](t.users)
 
 
 @query
 def preprocess_point(t):
-    return cleaning.preprocess_points(t.points)
+    return cleaning.CLEANING["points"](t.points)
 
 
 @query
@@ -67,28 +67,34 @@ def attendance_days(t):
     return t.days
 
 
+@query
+def broken_text_counts(t):
+    return cleaning.text_faults(t.broken_users, t.broken_attendance)
+
+
 # ---- profile ---------------------------------------------------------------------------
 
 
 @query
 def vote_summary(t):
-    return profile.vote_summary(t.votes, b.CONFIG.window)
+    return t.summary.where("frequency > 0").select(
+        "user_id", profile.recency(F.col("last_vote"), b.CONFIG.window).alias("recency"), "frequency")
 
 
 @query
 def payment_summary(t):
-    return profile.payment_summary(t.payments, b.CONFIG.window)
+    return t.summary.where("monetary > 0").select("user_id", "monetary")
 
 
 @query
 def block_summary(t):
-    return profile.block_summary(t.blocks, b.CONFIG.window)
+    return t.summary.where("block_cnt > 0").select("user_id", "block_cnt")
 
 
 @query
 def point_summary(t):
-    return profile.point_summary(t.points, b.CONFIG.window).withColumn(
-        "point_flow", F.col("point_flow").cast("decimal(28,2)"))
+    # Every event of the binding is a movement: whoever has any activity has a sum.
+    return t.summary.select("user_id", F.col("point_flow").cast("decimal(28,2)").alias("point_flow"))
 
 
 @query

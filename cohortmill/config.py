@@ -23,58 +23,46 @@ class TableConfig:
         return WAREHOUSE_PREFIX + self.name
 
 
-# The 25 source tables in load order, four stages. Columns of a line: name,
-# incremental column, key, rows per fetch, cleaning rule ("-" for none).
-_TABLES = """
-reference
-    accounts_group                -               id  10000  -
-    accounts_school               -               id  10000  -
-    accounts_nearbyschool         -               id  10000  -
-    polls_question                -               id  10000  -
-    polls_questionset             -               id  10000  -
-    polls_questionpiece           -               id  10000  -
-incremental
-    accounts_user                 created_at      id  10000  users
-    accounts_userquestionrecord   created_at      id  10000  -
-    polls_usercandidate           created_at      id  10000  -
-    polls_questionreport          created_at      id  10000  -
-    accounts_blockrecord          created_at      id  10000  -
-    accounts_timelinereport       created_at      id  10000  -
-    accounts_userwithdraw         created_at      id  10000  -
-    accounts_paymenthistory       created_at      id  10000  -
-    accounts_failpaymenthistory   created_at      id  10000  -
-    event_receipts                created_at      id  10000  -
-    events                        created_at      id  10000  -
-    accounts_pointhistory         created_at      id  10000  points
-full_reload
-    accounts_attendance           -               id  10000  -
-    accounts_user_contacts        -               -   10000  -
-    hackle_properties             -               -   10000  -
-    device_properties             -               -   10000  -
-    user_properties               -               -   10000  -
-large
-    accounts_friendrequest        created_at      id  5000   -
-    hackle_events                 event_datetime  -   5000   -
-"""
+# The 25 source tables in load order, four stages.
+STAGES: dict[str, list[TableConfig]] = {
+    "reference": [
+        TableConfig("accounts_group", pk="id"),
+        TableConfig("accounts_school", pk="id"),
+        TableConfig("accounts_nearbyschool", pk="id"),
+        TableConfig("polls_question", pk="id"),
+        TableConfig("polls_questionset", pk="id"),
+        TableConfig("polls_questionpiece", pk="id"),
+    ],
+    "incremental": [
+        TableConfig("accounts_user", incremental_col="created_at", pk="id", cleaning="users"),
+        TableConfig("accounts_userquestionrecord", incremental_col="created_at", pk="id"),
+        TableConfig("polls_usercandidate", incremental_col="created_at", pk="id"),
+        TableConfig("polls_questionreport", incremental_col="created_at", pk="id"),
+        TableConfig("accounts_blockrecord", incremental_col="created_at", pk="id"),
+        TableConfig("accounts_timelinereport", incremental_col="created_at", pk="id"),
+        TableConfig("accounts_userwithdraw", incremental_col="created_at", pk="id"),
+        TableConfig("accounts_paymenthistory", incremental_col="created_at", pk="id"),
+        TableConfig("accounts_failpaymenthistory", incremental_col="created_at", pk="id"),
+        TableConfig("event_receipts", incremental_col="created_at", pk="id"),
+        TableConfig("events", incremental_col="created_at", pk="id"),
+        TableConfig("accounts_pointhistory", incremental_col="created_at", pk="id", cleaning="points"),
+    ],
+    "full_reload": [
+        TableConfig("accounts_attendance", pk="id"),
+        TableConfig("accounts_user_contacts"),
+        TableConfig("hackle_properties"),
+        TableConfig("device_properties"),
+        TableConfig("user_properties"),
+    ],
+    "large": [
+        TableConfig("accounts_friendrequest", incremental_col="created_at", pk="id", fetch_size=5_000),
+        TableConfig("hackle_events", incremental_col="event_datetime", fetch_size=5_000),
+    ],
+}
 
 # Stages whose tables are loaded one after the other; in the others they may overlap.
 SEQUENTIAL_STAGES = frozenset({"large"})
 
-
-def _parse_tables(text: str) -> dict[str, list[TableConfig]]:
-    stages: dict[str, list[TableConfig]] = {}
-    current: list[TableConfig] = []
-    for line in text.strip().splitlines():
-        words = line.split()
-        if len(words) == 1:
-            current = stages.setdefault(words[0], [])
-            continue
-        name, inc, pk, fetch, cleaning = (None if w == "-" else w for w in words)
-        current.append(TableConfig(name, inc, pk, int(fetch), cleaning))
-    return stages
-
-
-STAGES: dict[str, list[TableConfig]] = _parse_tables(_TABLES)
 TABLES: dict[str, TableConfig] = {cfg.name: cfg for stage in STAGES.values() for cfg in stage}
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _ARRAY = "array<string>"
+_QUOTED = r"""('(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")"""
 
 
 def is_list_text(text: Column) -> Column:
@@ -23,8 +24,12 @@ def parse_list_text(text: Column, *, strict: bool = False) -> Column:
     tuple_text = F.regexp_replace(text, r"(?s)^\s*\((.*)\)\s*$", "[$1]")
     json = F.when(F.ltrim(text).startswith("("), tuple_text).otherwise(text)
     json = F.regexp_replace(json, r"([\[,]\s*)None(?=\s*[,\]])", "$1null")
-    json = F.regexp_replace(json, r",\s*\]", "]")
-    parsed = F.from_json(json, _ARRAY)
+    # A comma before the closing bracket goes, unless it stands inside quotes.
+    json = F.regexp_replace(json, _QUOTED + r"|,(?=\s*\])", "$1")
+    # The list must be all there is: inside other brackets, text behind it is an error, or a
+    # second element.
+    outer = F.from_json(F.concat(F.lit('{"v": ['), json, F.lit("]}")), f"struct<v:array<{_ARRAY}>>")["v"]
+    parsed = F.when((F.size(outer) == 1) & F.rtrim(json).endswith("]"), F.get(outer, F.lit(0)))
     if strict:
         error = F.raise_error(F.concat(F.lit("broken list text: "), text)).cast(_ARRAY)
         parsed = F.coalesce(parsed, error)

@@ -53,8 +53,10 @@ def unseen_in_slice(candidates: DataFrame, stored: DataFrame, key: str) -> DataF
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Any one row of each key."""
-    return df.dropDuplicates(list(keys))
+    """Any one row of each key. Rows without a key are no copies of one another and all stay."""
+    keys = list(keys)
+    keyless = reduce(Column.__or__, (F.col(key).isNull() for key in keys))
+    return df.where(~keyless).dropDuplicates(keys).unionByName(df.where(keyless))
 
 
 def overwrite_rows(stored: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:

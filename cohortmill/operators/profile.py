@@ -17,38 +17,10 @@ def _events(df: DataFrame, window: AnalysisWindow, *extra: str) -> DataFrame:
     return df.select("user_id", "created_at", *extra).where(known)
 
 
-def _recency(last_vote: Column, window: AnalysisWindow) -> Column:
+def recency(last_vote: Column, window: AnalysisWindow) -> Column:
     return whole_days_before(window.end_ts, last_vote)
 
 
-def vote_summary(votes: DataFrame, window: AnalysisWindow) -> DataFrame:
-    """Days since the last vote and number of votes."""
-    return (
-        _events(votes, window)
-        .groupBy("user_id")
-        .agg(F.max("created_at").alias("last_vote"), F.count("created_at").alias("frequency"))
-        .select("user_id", _recency(F.col("last_vote"), window).alias("recency"), "frequency")
-    )
-
-
-def payment_summary(payments: DataFrame, window: AnalysisWindow) -> DataFrame:
-    """Number of payments: "monetary" is a count here, not an amount."""
-    return _events(payments, window).groupBy("user_id").agg(F.count(F.lit(1)).alias("monetary"))
-
-
-def block_summary(blocks: DataFrame, window: AnalysisWindow) -> DataFrame:
-    return _events(blocks, window).groupBy("user_id").agg(F.count(F.lit(1)).alias("block_cnt"))
-
-
-def point_summary(points: DataFrame, window: AnalysisWindow) -> DataFrame:
-    """Net movement of points inside the window; not the balance."""
-    return (
-        _events(points, window, "delta_point")
-        .groupBy("user_id")
-        .agg(F.coalesce(F.sum("delta_point"), F.lit(0)).alias("point_flow"))
-    )
-
-
 def activity_summary(
     votes: DataFrame, payments: DataFrame, blocks: DataFrame, points: DataFrame, window: AnalysisWindow
 ) -> DataFrame:
@@ -101,7 +73,7 @@ def user_profile(
     """
     window = cfg.window
     since_signup = F.least(whole_days_before(window.end_ts, F.col("created_at")), F.lit(window.max_days))
-    recency = F.greatest(F.coalesce(_recency(F.col("last_vote"), window), since_signup), F.lit(0))
+    days = F.greatest(F.coalesce(recency(F.col("last_vote"), window), since_signup), F.lit(0))
     people = users.select(
         F.col("user_id").try_cast("bigint").alias("user_id"), "gender", "friend_cnt", "created_at"
     )
@@ -113,7 +85,7 @@ def user_profile(
         "gender",
         "friend_cnt",
         F.col("point_flow"),
-        recency.cast("long").alias("recency"),
+        days.cast("long").alias("recency"),
         "frequency",
         "monetary",
         "block_cnt",

@@ -19,6 +19,9 @@ from .load import batch_id
 from .replica import sync_replica
 
 
+TEXT_FAULTS = "activity_text_faults"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The loaded tables the marts read."""
@@ -72,8 +75,14 @@ def refresh_rows(store: TableStore, contract: Contract, df: DataFrame, batch: st
     return store.replace(contract.name, rows, batch, key=contract.key)
 
 
-def build_profile(warehouse: Warehouse, cfg: MartConfig) -> DataFrame:
-    users = cleaning.clean_users(warehouse.users, cfg)
+def record_text_faults(warehouse: Warehouse, mart: TableStore, batch: str) -> Batch:
+    """Counts of list texts and dates that the run could not read, kept with the run."""
+    faults = cleaning.text_faults(warehouse.users, warehouse.attendance)
+    return mart.append(TEXT_FAULTS, faults.select(F.lit(batch).alias("run"), "*"), batch)
+
+
+def build_profile(warehouse: Warehouse, cfg: MartConfig, *, strict: bool = False) -> DataFrame:
+    users = cleaning.clean_users(warehouse.users, cfg, strict=strict)
     return profile.user_profile(
         users, warehouse.votes, warehouse.payments, warehouse.blocks, warehouse.points, cfg)
 
@@ -96,33 +105,37 @@ def update_clusters(mart: TableStore, people: DataFrame, cfg: MartConfig, batch:
     """Cluster ordinary users and append the new ones.
 
     The first run fits and stores a model; later runs score with it, so that a label keeps
-    its meaning. ``refit`` fits anew and rewrites every label.
+    its meaning. ``refit`` fits anew and rewrites every label, also those of stored users who
+    have left the profile: their features are in the table.
     """
     ordinary = profile.general_users(people)
     known = None if refit else stored_model(mart)
     labelled, model = clusters.cluster_users(ordinary, cfg, known)
     if model is not None and model is not known:
         mart.replace(clusters.MODEL_TABLE, model.to_frame(people.sparkSession), batch)
+    if refit and model is not None:
+        stored = unseen(mart.read(CLUSTERS.name, CLUSTERS), people.select("user_id"), CLUSTERS.key)
+        labelled = labelled.unionByName(clusters.score(stored.drop("cluster"), model))
     if refit or refresh:
         return refresh_rows(mart, CLUSTERS, labelled, batch, moved=profile.super_users(people))
     return append_new(mart, CLUSTERS, labelled, batch)
 
 
-def build_timeseries(warehouse: Warehouse, mart: TableStore, cfg: MartConfig) -> DataFrame:
+def build_timeseries(warehouse: Warehouse, mart: TableStore, cfg: MartConfig, *, strict: bool = False) -> DataFrame:
     return timeseries.activity_timeseries(
         warehouse.votes,
         warehouse.payments,
         warehouse.points,
-        cleaning.attendance_days(warehouse.attendance),
-        cleaning.clean_users(warehouse.users, cfg),
+        cleaning.attendance_days(warehouse.attendance, strict=strict),
+        cleaning.clean_users(warehouse.users, cfg, strict=strict),
         mart.read(CLUSTERS.name, CLUSTERS).where(F.col("cluster").isin(*cfg.targets)),
         cfg,
     )
 
 
 def update_timeseries(warehouse: Warehouse, mart: TableStore, cfg: MartConfig, batch: str, *,
-                      refresh: bool = False) -> Batch:
-    series = build_timeseries(warehouse, mart, cfg)
+                      refresh: bool = False, strict: bool = False) -> Batch:
+    series = build_timeseries(warehouse, mart, cfg, strict=strict)
     if refresh:
         return refresh_rows(mart, TIMESERIES, series, batch)
     return append_new(mart, TIMESERIES, series, batch)
@@ -138,17 +151,24 @@ def run_activity_mart(
     *,
     refit: bool = False,
     refresh: bool = False,
+    strict: bool = False,
 ) -> list[Batch]:
-    """Profile and clusters, then the time series, then the replica. Rows written per table."""
+    """Profile and clusters, then the time series, then the replica. Rows written per table.
+
+    Text that cannot be read is counted in ``activity_text_faults``, or stops the run with
+    ``strict``. A ``refit`` gives clusters another meaning, so the series is rewritten too.
+    """
     ensure_session(spark)
     tables, batch = Warehouse(warehouse), batch_id(run_at)
+    if not strict:
+        record_text_faults(tables, mart, batch)
     # Both user marts and every pass of the fit read the profile.
-    with written_once(build_profile(tables, cfg), "profile") as people:
+    with written_once(build_profile(tables, cfg, strict=strict), "profile") as people:
         written = [
             update_super_users(mart, people, batch, refresh=refresh),
             update_clusters(mart, people, cfg, batch, refit=refit, refresh=refresh),
         ]
-    written.append(update_timeseries(tables, mart, cfg, batch, refresh=refresh))
+    written.append(update_timeseries(tables, mart, cfg, batch, refresh=refresh or refit, strict=strict))
     if replica is not None:
         written += sync_replica(mart, replica, batch, refresh=refresh or refit)
     return written

@@ -29,82 +29,103 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
 
 
-_TYPES = {
-    "bigint": T.LongType(),
-    "date": T.DateType(),
-    "double": T.DoubleType(),
-    "int": T.IntegerType(),
-    "string": T.StringType(),
-    "timestamp": T.TimestampType(),
-    "tinyint": T.ByteType(),
-}
-
-
-def _contract(name: str, key: tuple[str, ...], text: str) -> Contract:
-    """Lines of ``column type [null] [default <value>]``; ``varchar(n)`` sets a width."""
-    fields, defaults, widths = [], {}, {}
-    for line in text.strip().splitlines():
-        column, kind, *rest = line.split()
-        if kind.startswith("varchar"):
-            widths[column] = int(kind[8:-1])
-            kind = "string"
-        data_type = _TYPES[kind]
-        fields.append(T.StructField(column, data_type, "null" in rest))
-        if "default" in rest:
-            value = rest[rest.index("default") + 1]
-            defaults[column] = value.strip("'") if kind == "string" else int(value)
-    return Contract(name, T.StructType(fields), key, defaults, widths)
-
-
 # Columns of the three marts. 32-bit floats of the original contract are
 # doubles here, since a 32-bit float is exact only up to 2^24 and sums go beyond.
-SUPER_USERS = _contract("activity_super_user_df", ("user_id",), """
-    user_id     bigint
-    user_type   varchar(10)
-    gender      varchar(5)   null
-    friend_cnt  int          default 0
-    point       double       default 0
-    recency     double
-    frequency   double       default 0
-    monetary    double       default 0
-    block_cnt   int          default 0
-""")
-
-CLUSTERS = _contract("activity_cluster_df", ("user_id",), """
-    user_id     bigint
-    friend_cnt  int          default 0
-    recency     double
-    frequency   double       default 0
-    monetary    double       default 0
-    block_cnt   int          default 0
-    cluster     tinyint
-""")
-
-TIMESERIES = _contract("activity_timeseries_df", ("week_start", "cluster"), """
-    week_start            date
-    cluster               tinyint
-    week_label            varchar(20)
-    revenue               bigint       default 0
-    active_users          int          default 0
-    cum_users             int          default 0
-    point_burn            double       default 0
-    net_flow              double       default 0
-    last_act              timestamp    null
-    vote_cnt              int          default 0
-    vote_user_cnt         int          default 0
-    war                   double       default 0
-    arpu                  double       default 0
-    votes_per_user        double       default 0
-    vote_conversion_rate  double       default 0
-    war_status            varchar(10)  default ''
-    arpu_status           varchar(10)  default ''
-    vpu_status            varchar(10)  default ''
-    pure_attendance_cnt   int          default 0
-    pure_attendance_rate  double       default 0
-    cumulative_net_flow   double       default 0
-    cumulative_burn       double       default 0
-    vpu                   double       default 0
-""")
+SUPER_USERS = Contract(
+    "activity_super_user_df",
+    T.StructType([
+        T.StructField("user_id", T.LongType(), False),
+        T.StructField("user_type", T.StringType(), False),
+        T.StructField("gender", T.StringType(), True),
+        T.StructField("friend_cnt", T.IntegerType(), False),
+        T.StructField("point", T.DoubleType(), False),
+        T.StructField("recency", T.DoubleType(), False),
+        T.StructField("frequency", T.DoubleType(), False),
+        T.StructField("monetary", T.DoubleType(), False),
+        T.StructField("block_cnt", T.IntegerType(), False),
+    ]),
+    key=("user_id",),
+    defaults={
+        "friend_cnt": 0,
+        "point": 0,
+        "frequency": 0,
+        "monetary": 0,
+        "block_cnt": 0,
+    },
+    widths={"user_type": 10, "gender": 5},
+)
+
+CLUSTERS = Contract(
+    "activity_cluster_df",
+    T.StructType([
+        T.StructField("user_id", T.LongType(), False),
+        T.StructField("friend_cnt", T.IntegerType(), False),
+        T.StructField("recency", T.DoubleType(), False),
+        T.StructField("frequency", T.DoubleType(), False),
+        T.StructField("monetary", T.DoubleType(), False),
+        T.StructField("block_cnt", T.IntegerType(), False),
+        T.StructField("cluster", T.ByteType(), False),
+    ]),
+    key=("user_id",),
+    defaults={
+        "friend_cnt": 0,
+        "frequency": 0,
+        "monetary": 0,
+        "block_cnt": 0,
+    },
+)
+
+TIMESERIES = Contract(
+    "activity_timeseries_df",
+    T.StructType([
+        T.StructField("week_start", T.DateType(), False),
+        T.StructField("cluster", T.ByteType(), False),
+        T.StructField("week_label", T.StringType(), False),
+        T.StructField("revenue", T.LongType(), False),
+        T.StructField("active_users", T.IntegerType(), False),
+        T.StructField("cum_users", T.IntegerType(), False),
+        T.StructField("point_burn", T.DoubleType(), False),
+        T.StructField("net_flow", T.DoubleType(), False),
+        T.StructField("last_act", T.TimestampType(), True),
+        T.StructField("vote_cnt", T.IntegerType(), False),
+        T.StructField("vote_user_cnt", T.IntegerType(), False),
+        T.StructField("war", T.DoubleType(), False),
+        T.StructField("arpu", T.DoubleType(), False),
+        T.StructField("votes_per_user", T.DoubleType(), False),
+        T.StructField("vote_conversion_rate", T.DoubleType(), False),
+        T.StructField("war_status", T.StringType(), False),
+        T.StructField("arpu_status", T.StringType(), False),
+        T.StructField("vpu_status", T.StringType(), False),
+        T.StructField("pure_attendance_cnt", T.IntegerType(), False),
+        T.StructField("pure_attendance_rate", T.DoubleType(), False),
+        T.StructField("cumulative_net_flow", T.DoubleType(), False),
+        T.StructField("cumulative_burn", T.DoubleType(), False),
+        T.StructField("vpu", T.DoubleType(), False),
+    ]),
+    key=("week_start", "cluster"),
+    defaults={
+        "revenue": 0,
+        "active_users": 0,
+        "cum_users": 0,
+        "point_burn": 0,
+        "net_flow": 0,
+        "vote_cnt": 0,
+        "vote_user_cnt": 0,
+        "war": 0,
+        "arpu": 0,
+        "votes_per_user": 0,
+        "vote_conversion_rate": 0,
+        "war_status": "",
+        "arpu_status": "",
+        "vpu_status": "",
+        "pure_attendance_cnt": 0,
+        "pure_attendance_rate": 0,
+        "cumulative_net_flow": 0,
+        "cumulative_burn": 0,
+        "vpu": 0,
+    },
+    widths={"week_label": 20, "war_status": 10, "arpu_status": 10, "vpu_status": 10},
+)
 
 MARTS: dict[str, Contract] = {c.name: c for c in (SUPER_USERS, CLUSTERS, TIMESERIES)}
 

@@ -34,6 +34,11 @@ class JdbcSource:
     ranges: dict[str, KeyRange] = field(default_factory=dict)
     predicates: dict[str, list[str]] = field(default_factory=dict)
 
+    def _cursor(self) -> dict[str, str]:
+        """What makes the driver honour the fetch size. Connector/J buffers a whole result without it."""
+        mysql = self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:"))
+        return {"useCursorFetch": "true"} if mysql else {}
+
     def options(self, cfg: TableConfig) -> dict[str, str]:
         """Reader options of one table; a key range makes the read parallel."""
         options = {
@@ -41,6 +46,7 @@ class JdbcSource:
             "dbtable": cfg.name,
             "fetchsize": str(cfg.fetch_size),
             "pushDownPredicate": "true",
+            **self._cursor(),
             **self.properties,
         }
         span = self.ranges.get(cfg.name)
@@ -56,7 +62,7 @@ class JdbcSource:
     def table(self, cfg: TableConfig) -> DataFrame:
         slices = self.predicates.get(cfg.name)
         if slices:
-            properties = {**self.properties, "fetchsize": str(cfg.fetch_size)}
+            properties = {**self._cursor(), **self.properties, "fetchsize": str(cfg.fetch_size)}
             return zoned(self.spark.read.jdbc(self.url, cfg.name, predicates=slices, properties=properties))
         return zoned(self.spark.read.format("jdbc").options(**self.options(cfg)).load())
 

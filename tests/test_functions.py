@@ -16,6 +16,7 @@ WINDOW = AnalysisWindow()
     ("[1,2,3]", 3), ("[]", 0), ("[1,2,]", 2), ("['a','b']", 2), ("[None,1]", 2), ("[None, None,]", 2),
     (" [1]", 0), ("{}", 0), ("(1, 2)", 0), ("[[1, 2], 3]", 2), (None, 0), ("[1", None), ("[ ]", 0),
     ("['a', None, ]", 2), ("[\"it's\"]", 1), ("[1, 2]  ", 2),
+    ("[1,2]xyz", None), ("[1] [2]", None), ("[1], [2]", None),
 ])
 def test_list_length(spark, text, count):
     df = table(spark, "x:string", (text,))
@@ -24,7 +25,8 @@ def test_list_length(spark, text, count):
 
 @pytest.mark.parametrize(("text", "items"), [
     ("['2024-01-03', None,]", ["2024-01-03", None]), (" [\"a\"]", ["a"]), ("('a', 'b')", ["a", "b"]), ("('a',)", ["a"]),
-    (None, []), ("[]", []), ("abc", None), ("[1", None),
+    (None, []), ("[]", []), ("abc", None), ("[1", None), ("['a,]']", ["a,]"]), ("['a', 'b,]',]", ["a", "b,]"]),
+    ("[1]}", None), ("[1], \"w\": [2]", None), ("[1]]", None),
 ])
 def test_parse_list_text(spark, text, items):
     df = table(spark, "x:string", (text,))

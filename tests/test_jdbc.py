@@ -11,6 +11,8 @@ def test_plain_options():
     got = source.options(TABLES["hackle_events"])
     assert got["dbtable"] == "hackle_events" and got["fetchsize"] == "5000" and got["user"] == "u"
     assert "partitionColumn" not in got
+    assert got["useCursorFetch"] == "true"
+    assert "useCursorFetch" not in JdbcSource(None, "jdbc:postgresql://host/raw").options(TABLES["hackle_events"])
 
 
 def test_key_range_makes_the_read_parallel():

@@ -3,11 +3,12 @@ from datetime import date, datetime
 
 import pytest
 from helpers import ATTENDANCE, EVENT, PAYMENT, POINT, table, user, users, values
+from pyspark.errors import PySparkException
 
 from cohortmill import TABLES, AnalysisWindow, MartConfig, TableStore, load_table, run_activity_mart, sync_replica
-from cohortmill.operators.clusters import MODEL_TABLE
-from cohortmill.plans.mart import append_new
-from cohortmill.schemas import CLUSTERS, MARTS, SUPER_USERS, TIMESERIES
+from cohortmill.operators.clusters import MODEL_TABLE, score
+from cohortmill.plans.mart import TEXT_FAULTS, Warehouse, append_new, build_timeseries, stored_model
+from cohortmill.schemas import CLUSTERS, MARTS, SUPER_USERS, TIMESERIES, conform
 from cohortmill.session import hadoop_path, written_once
 from cohortmill.sources.store import DuplicateKey
 
@@ -108,6 +109,41 @@ def test_refresh_moves_a_user(spark, tmp_path):
     assert len(service.mart.commits(MODEL_TABLE)) == 2
 
 
+def test_refit_relabels_leavers_and_rewrites_the_series(spark, tmp_path):
+    service = Service(spark, tmp_path)
+    service.run(RUN1, 9)
+    before = values(service.mart.read(TIMESERIES.name), "week_start", "cluster")
+    # User 1 turns Super and user 8 leaves the profile; both were labelled by the first model.
+    data = content(spark, 12)
+    data["accounts_user"] = data["accounts_user"].where("id <> 8")
+    for name in data:
+        load_table(spark, replace(TABLES[name], incremental_col=None), Source(data), service.warehouse, RUN2)
+    run_activity_mart(spark, service.warehouse, service.mart, service.replica, RUN2, CFG, refit=True)
+    model = stored_model(service.mart)
+    stored = service.mart.read(CLUSTERS.name, CLUSTERS)
+    assert service.ids(CLUSTERS) == list(range(2, 9))
+    again = score(stored.drop("cluster"), model)
+    assert values(again, "user_id", "cluster") == values(stored, "user_id", "cluster")
+    fresh = conform(build_timeseries(Warehouse(service.warehouse), service.mart, CFG), TIMESERIES)
+    assert values(service.mart.read(TIMESERIES.name, TIMESERIES)) == values(fresh)
+    assert before and values(service.replica.read(TIMESERIES.name, TIMESERIES)) == values(fresh)
+
+
+def test_unreadable_text_is_counted_or_stops_the_run(spark, tmp_path):
+    service = Service(spark, tmp_path)
+    service.run(RUN1, 9)
+    assert {r.n_values for r in service.mart.read(TEXT_FAULTS).collect()} == {0}
+    data = content(spark, 9)
+    data["accounts_attendance"] = table(spark, ATTENDANCE, (1, 5, "['2023-06-07'"), (2, 6, "['7 June']"))
+    load_table(spark, replace(TABLES["accounts_attendance"], incremental_col=None), Source(data), service.warehouse, RUN2)
+    run_activity_mart(spark, service.warehouse, service.mart, None, RUN2, CFG)
+    counted = service.mart.read(TEXT_FAULTS).where("n_values > 0")
+    assert values(counted, "source", "fault", "n_values") == [
+        ("accounts_attendance", "date", 1), ("accounts_attendance", "list", 1)]
+    with pytest.raises(PySparkException, match="broken list text"):
+        run_activity_mart(spark, service.warehouse, service.mart, None, RUN3, CFG, strict=True, refresh=True)
+
+
 def test_first_run_needs_no_tables(spark, store, tmp_path):
     assert [b.rows for b in sync_replica(store, TableStore(spark, str(tmp_path / "r")), "b0")] == [0, 0, 0]
 
