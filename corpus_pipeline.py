@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ]
 
 # Neither the similarity join, nor latent retrieval, nor the tokenizer can be put in SQL; the tests
-# run the stages against a brute-force version.
+# check the operator of every stage against a plain version.
 ORACLE_SQL: str | None = None
 
 
