@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -360,13 +361,37 @@ def _hosted(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", host.alias("host"))
 
 
+def _observed(pages: DataFrame) -> DataFrame:
+    """``host, wrapper, slots`` of every page: its folded stream and, by slot, the length of the text
+    beside links and a hash of the text. Written once, since wrappers and volumes both come from it."""
+    schema = "host string, wrapper string, slots array<struct<path:string,length:bigint,mark:bigint>>"
+    kind = pa.list_(pa.struct([("path", pa.string()), ("length", pa.int64()), ("mark", pa.int64())]))
+
+    def observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, seen = [], []
+            for html in batch.column(1).to_pylist():
+                stream, blocks = parse(html)
+                sums: dict[str, list] = {}
+                for block in blocks:
+                    one = sums.setdefault(block.path, [0, xxhash.xxh3_64()])
+                    one[0] += len(block.text) - block.linked
+                    one[1].update(f"{block.text}\n".encode("utf-8", "surrogatepass"))
+                made.append(json.dumps(fold(stream)))
+                seen.append([{"path": path, "length": length, "mark": mark.intdigest() - (1 << 63)}
+                             for path, (length, mark) in sums.items()])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(made, pa.string()), pa.array(seen, kind)], names=["host", "wrapper", "slots"])
+
+    return scratch_table(_hosted(pages).select("host", "html").mapInArrow(observe, schema), "streams")
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
     """``host, wrapper, n_pages``: one expression per host, as JSON."""
-    def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [json.dumps(fold(parse(html)[0])) for html in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["host", "wrapper"])
+    return _wrappers(_observed(pages))
+
 
+def _wrappers(observed: DataFrame) -> DataFrame:
     def join_up(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
         for group in record_groups(batches, keys):
             whole: list | None = None
@@ -377,8 +402,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
                  pa.array([sum(group.column("n_pages").to_pylist())], pa.int64())], names=["host", "wrapper", "n_pages"])
 
     kind = "host string, wrapper string, n_pages bigint"
-    distinct = _hosted(pages).select("host", "html").mapInArrow(streams, "host string, wrapper string").groupBy(
-        "host", "wrapper").agg(F.count(F.lit(1)).alias("n_pages"))
+    distinct = observed.groupBy("host", "wrapper").agg(F.count(F.lit(1)).alias("n_pages"))
     parts = distinct.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).repartition(
         "host", "salt").sortWithinPartitions("host", "salt", "wrapper").mapInArrow(
         lambda batches: join_up(batches, ["host", "salt"]), kind)
@@ -386,37 +410,19 @@ def wrappers(pages: DataFrame) -> DataFrame:
         lambda batches: join_up(batches, ["host"]), kind)
 
 
-def _volumes(pages: DataFrame) -> DataFrame:
+def _volumes(observed: DataFrame) -> DataFrame:
     """``host, path, volume``: text of a slot beside links, 0 where all pages have the same."""
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hosts, paths, lengths, texts = [], [], [], []
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums: dict[str, list] = {}
-                for block in parse(html)[1]:
-                    one = sums.setdefault(block.path, [0, []])
-                    one[0] += len(block.text) - block.linked
-                    one[1].append(block.text)
-                for path, (length, own) in sums.items():
-                    hosts.append(host)
-                    paths.append(path)
-                    lengths.append(length)
-                    texts.append("\n".join(own))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(lengths, pa.int64()),
-                 pa.array(texts, pa.string())], names=["host", "path", "length", "text"])
-
-    rows = _hosted(pages).select("host", "html").mapInArrow(measure, "host string, path string, length bigint, text string")
-    mark = F.xxhash64("text")
-    constant = (F.count(F.lit(1)) > 1) & (F.min(mark) == F.max(mark))
+    rows = observed.select("host", F.explode("slots").alias("slot")).select("host", "slot.*")
+    constant = (F.count(F.lit(1)) > 1) & (F.min("mark") == F.max("mark"))
     return rows.groupBy("host", "path").agg(
         F.when(constant, F.lit(0)).otherwise(F.sum("length")).cast("bigint").alias("volume"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_blocks`` of every page."""
-    hosts = wrappers(pages)
-    volumes = _volumes(pages).groupBy("host").agg(F.collect_list(F.struct("path", "volume")).alias("volumes"))
+    observed = _observed(pages)
+    hosts = _wrappers(observed)
+    volumes = _volumes(observed).groupBy("host").agg(F.collect_list(F.struct("path", "volume")).alias("volumes"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
