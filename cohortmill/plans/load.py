@@ -27,18 +27,22 @@ class Source(Protocol):
 
 @dataclass(frozen=True)
 class LoadOptions:
-    """Deviations from the default behaviour, all off.
+    """Deviations from the default behaviour, all off, and the upkeep of the stored tables.
 
     ``upper_bound``   leave rows beyond the new mark for the next run
     ``lookback``      reread this much before the old mark, for rows that arrived late
     ``dedupe_batch``  one row per key inside the batch too, not only against the target
     ``keep_on_empty`` an empty full load leaves the target as it is
+    ``generations``   how many generations of a table stay; the last but one serves running readers
+    ``compact_after`` so many batches are folded into one before the next is appended
     """
 
     upper_bound: bool = False
     lookback: timedelta = timedelta(0)
     dedupe_batch: bool = False
     keep_on_empty: bool = False
+    generations: int = 2
+    compact_after: int = 100
 
 
 @dataclass(frozen=True)
@@ -102,6 +106,9 @@ def load_table(
     if options.dedupe_batch and cfg.pk:
         rows = one_per_key(rows, [cfg.pk])
 
+    # Folded before the load, so that the newest row of the log stays that of a load.
+    if mode == INCREMENTAL and len(store.live(target)) >= options.compact_after:
+        store.compact(target, f"{batch}-compact")
     if mode == FULL:
         if options.keep_on_empty and commits and rows.isEmpty():
             written = store.record(target, batch, commits[-1].schema, sync_start)
@@ -113,6 +120,7 @@ def load_table(
             written = store.append(target, fresh, batch, sync_start)
     else:
         written = store.append(target, rows, batch, sync_start)
+    store.purge(target, options.generations)
     return LoadResult(cfg.name, written.rows, mode)
 
 

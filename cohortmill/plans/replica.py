@@ -19,15 +19,28 @@ def sync_replica(
 ) -> list[Batch]:
     """Append to each replica table the rows whose key it lacks.
 
-    Both sides follow one contract, so keys are compared column by column and only the key
-    columns of the replica are read. ``refresh`` makes the replica a copy of the mart.
+    A replica batch bears the name of the newest mart batch it covers, so the replica's log
+    tells which mart batches are still to come: only those are read, and a sync without news
+    reads no data. Of their rows those with a new key are appended; both sides follow one
+    contract, so keys are compared column by column and only the key columns of the replica
+    are read. ``refresh`` makes the replica a copy of the mart. A mart that was never written
+    leaves the replica as it is, under the name ``batch``.
     """
     written = []
     for contract in contracts:
-        rows = local.read(contract.name, contract)
+        name, commits = contract.name, local.commits(contract.name)
+        held = {c.batch for c in remote.commits(name)}
+        newest = commits[-1].batch if commits else batch
         if refresh:
-            written.append(remote.replace(contract.name, rows, batch))
+            again = f"{newest}-copy-{len(held)}"
+            rows = local.read(name, contract)
+            written.append(remote.replace(name, rows, again if newest in held else newest))
+            continue
+        synced = max((c.seq for c in commits if c.batch in held), default=-1)
+        missing = [c for c in local.live(name) if c.seq > synced]
+        if missing:
+            rows = unseen(local.read_batches(name, missing), remote.read(name, contract), contract.key)
+            written.append(remote.append(name, rows, newest))
         else:
-            stored = remote.read(contract.name, contract)
-            written.append(remote.append(contract.name, unseen(rows, stored, contract.key), batch))
+            written.append(Batch(name, 0, committed=False))
     return written

@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +69,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = ensure_session(spark)
         self.root = root.rstrip("/")
+        self._seen: dict[str, tuple[set[str], list[Commit]]] = {}
 
     # ---- log -------------------------------------------------------------------------
 
@@ -90,18 +91,38 @@ class TableStore:
         files, location = hadoop_path(self.spark, path)
         return files.exists(location)
 
+    def _log_files(self, table: str) -> set[str]:
+        files, location = hadoop_path(self.spark, self._log_path(table))
+        if not files.exists(location):
+            return set()
+        names = {status.getPath().getName() for status in files.listStatus(location)}
+        return {name for name in names if name.startswith("part-")}
+
     def commits(self, table: str) -> list[Commit]:
-        """Log of one table (its own folder, one small row per batch), oldest first."""
+        """Log of one table (its own folder, one small row per batch), oldest first.
+
+        A log file never changes once it is there, so each is read once and no more: a listing,
+        which is no Spark job, shows which files are new.
+        """
+        names = self._log_files(table)
+        seen, known = self._seen.get(table, (set(), []))
+        if not seen <= names:  # another table now has this name
+            seen, known = set(), []
+        if names - seen:
+            known = sorted(known + self._entries(table, names - seen), key=lambda c: c.seq)
+        self._seen[table] = names, known
+        return list(known)
+
+    def _entries(self, table: str, names: set[str]) -> list[Commit]:
         # The mark travels as text: Python would shift timestamps to the zone of the host.
         mark = F.col("last_synced_at").cast("string")
-        rows = self.log(table).select(
-            "seq", "gen", "batch", "schema_json", "row_count", mark.alias("mark")).collect()
-        found = [
+        entries = self.spark.read.schema(_ENTRY).parquet(*(f"{self._log_path(table)}/{name}" for name in sorted(names)))
+        rows = entries.select("seq", "gen", "batch", "schema_json", "row_count", mark.alias("mark")).collect()
+        return [
             Commit(r.seq, r.gen, r.batch, T.StructType.fromJson(json.loads(r.schema_json)),
                    r.row_count, datetime.fromisoformat(r.mark))
             for r in rows
         ]
-        return sorted(found, key=lambda c: c.seq)
 
     def sync_state(self) -> DataFrame:
         """Latest mark and row count per table."""
@@ -120,18 +141,25 @@ class TableStore:
 
     def _commit(self, table: str, seq: int, gen: int, batch: str, schema: T.StructType,
                 synced_at: datetime | None, rows: int) -> None:
-        now = F.current_timestamp()
+        now = datetime.now(UTC).replace(tzinfo=None)
+        synced_at = synced_at or now
+        if synced_at.tzinfo is not None:
+            synced_at = synced_at.astimezone(UTC).replace(tzinfo=None)
         values = {
             "seq": F.lit(seq), "gen": F.lit(gen),
             "batch": F.lit(batch), "schema_json": F.lit(schema.json()),
-            "last_synced_at": now if synced_at is None else utc_literal(synced_at),
-            "row_count": F.lit(rows), "updated_at": now,
+            "last_synced_at": utc_literal(synced_at),
+            "row_count": F.lit(rows), "updated_at": utc_literal(now),
         }
         record = self.spark.range(1, numPartitions=1).select(
             *(values[f.name].cast(f.dataType).alias(f.name) for f in _ENTRY))
         # One task writes one file, and its rename is the commit. The folder belongs to the
         # table, so tables loaded at the same time do not meet.
+        seen, known = self._seen.get(table, (set(), []))
         record.write.mode("append").parquet(self._log_path(table))
+        names = self._log_files(table)
+        if len(names - seen) == 1:  # what was just written need not be read
+            self._seen[table] = names, [*known, Commit(seq, gen, batch, schema, rows, synced_at)]
 
     # ---- data ------------------------------------------------------------------------
 
@@ -145,9 +173,17 @@ class TableStore:
             if contract is None:
                 raise LookupError(f"no such table: {table}")
             return empty_frame(self.spark, contract.schema)
-        live = [c for c in commits if c.gen == commits[-1].gen]
-        schema = live[0].schema
-        paths = [self._path(table, c.gen, c.batch) for c in live if c.row_count]
+        return self.read_batches(table, self.live(table))
+
+    def live(self, table: str) -> list[Commit]:
+        """Batches of the current generation, oldest first."""
+        commits = self.commits(table)
+        return [c for c in commits if c.gen == commits[-1].gen]
+
+    def read_batches(self, table: str, batches: Sequence[Commit]) -> DataFrame:
+        """The rows of some batches of one table."""
+        schema = batches[0].schema
+        paths = [self._path(table, c.gen, c.batch) for c in batches if c.row_count]
         if not paths:
             return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -205,12 +241,17 @@ class TableStore:
         """Delete generations older than the newest ``keep``; returns those deleted.
 
         Each full reload leaves the previous generation behind for readers that already
-        hold it; this gives the space back once they are done.
+        hold it; this gives the space back once they are done. An uncommitted generation, left
+        by a run that died, is newer than all of them and stays for its retry.
         """
-        commits = self.commits(table)
-        generations = sorted({c.gen for c in commits})
-        old = generations[:-keep] if keep > 0 else []
+        if keep < 1:
+            return []
+        kept = {*sorted({c.gen for c in self.commits(table)})[-keep:]}
+        files, location = hadoop_path(self.spark, f"{self.root}/{table}")
+        names = [s.getPath().getName() for s in files.listStatus(location)] if files.exists(location) else []
+        there = sorted(int(name.removeprefix("gen-")) for name in names if name.startswith("gen-"))
+        old = [gen for gen in there if kept and gen < min(kept)]
         for gen in old:
-            files, location = hadoop_path(self.spark, f"{self.root}/{table}/gen-{gen}")
-            files.delete(location, True)
+            _, folder = hadoop_path(self.spark, f"{self.root}/{table}/gen-{gen}")
+            files.delete(folder, True)
         return old
