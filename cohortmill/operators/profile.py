@@ -58,6 +58,17 @@ def activity_summary(
     )
 
 
+def summary_of_weeks(weeks: DataFrame) -> DataFrame:
+    """The same summary from rows per user and week, where those are there already."""
+    return weeks.groupBy("user_id").agg(
+        F.max("last_vote").alias("last_vote"),
+        F.sum("votes").alias("frequency"),
+        F.sum("paid").alias("monetary"),
+        F.sum("blocked").alias("block_cnt"),
+        F.sum("net_flow").alias("point_flow"),
+    )
+
+
 def user_profile(
     users: DataFrame,
     votes: DataFrame,
@@ -66,6 +77,11 @@ def user_profile(
     points: DataFrame,
     cfg: MartConfig = MartConfig(),
 ) -> DataFrame:
+    """Profile of every clean user, from the facts themselves."""
+    return profile_of(users, activity_summary(votes, payments, blocks, points, cfg.window), cfg)
+
+
+def profile_of(users: DataFrame, summary: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     """Profile of every clean user, active or not.
 
     Without a vote, recency counts from the sign-up, capped at the window's length; a
@@ -77,7 +93,6 @@ def user_profile(
     people = users.select(
         F.col("user_id").try_cast("bigint").alias("user_id"), "gender", "friend_cnt", "created_at"
     )
-    summary = activity_summary(votes, payments, blocks, points, window)
     joined = people.join(summary, "user_id", "left").fillna(0, ["frequency", "monetary", "block_cnt", "point_flow"])
     return joined.select(
         "user_id",

@@ -56,17 +56,20 @@ def _facts(
     payments: DataFrame | None,
     points: DataFrame | None,
     attendance: DataFrame | None,
+    blocks: DataFrame | None,
 ) -> DataFrame:
     """Long rows of whichever sources are given: user, time and one measure each."""
     delta_type = points.schema["delta_point"].dataType if points is not None else T.LongType()
 
-    def part(df: DataFrame, ts: str, *, vote: bool = False, revenue: Column | None = None,
+    def part(df: DataFrame, ts: str, *, vote: bool = False, block: bool = False, revenue: Column | None = None,
              delta: Column | None = None, acts: bool = False) -> DataFrame:
         known = F.col("user_id").isNotNull() & in_window(F.col(ts), cfg.window)
         return df.where(known).select(
             "user_id",
             monday_of(F.col(ts)).alias("week_start"),
             F.lit(int(vote)).alias("vote"),
+            F.lit(int(block)).alias("blocked"),
+            F.lit(int(revenue is not None)).alias("paid"),
             (F.lit(0).cast("long") if revenue is None else revenue).alias("revenue"),
             (F.lit(None).cast(delta_type) if delta is None else delta).alias("delta"),
             (F.col(ts) if acts else F.lit(None).cast("timestamp")).alias("acted_at"),
@@ -81,6 +84,8 @@ def _facts(
         parts.append(part(points, "created_at", delta=F.col("delta_point")))
     if attendance is not None:
         parts.append(part(attendance, "attendance_date", acts=True))
+    if blocks is not None:
+        parts.append(part(blocks, "created_at", block=True))
     rows = parts[0]
     for other in parts[1:]:
         rows = rows.unionByName(other)
@@ -94,10 +99,17 @@ def user_weeks(
     payments: DataFrame | None = None,
     points: DataFrame | None = None,
     attendance: DataFrame | None = None,
+    blocks: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per user and week over all given facts; ``last_act`` is NULL if not active."""
-    return _facts(cfg, votes, payments, points, attendance).groupBy("user_id", "week_start").agg(
+    """One row per user and week over all given facts; ``last_act`` is NULL if not active.
+
+    Blocks, payments and the last vote are there for the profile, which can be summed from these rows.
+    """
+    return _facts(cfg, votes, payments, points, attendance, blocks).groupBy("user_id", "week_start").agg(
         F.sum("vote").alias("votes"),
+        F.sum("paid").alias("paid"),
+        F.sum("blocked").alias("blocked"),
+        F.max(F.when(F.col("vote") == 1, F.col("acted_at"))).alias("last_vote"),
         F.sum("revenue").alias("revenue"),
         F.sum(burned(F.col("delta"))).alias("point_burn"),
         F.sum("delta").alias("net_flow"),
@@ -212,13 +224,20 @@ def activity_timeseries(
     cluster_map: DataFrame,
     cfg: MartConfig = MartConfig(),
 ) -> DataFrame:
-    """One row per week and target cluster, active or not.
+    """One row per week and target cluster, active or not."""
+    weeks = user_weeks(cfg, votes=votes, payments=payments, points=points, attendance=attendance)
+    return series_of_weeks(weeks, users, cluster_map, cfg)
+
+
+def series_of_weeks(
+    weeks: DataFrame, users: DataFrame, cluster_map: DataFrame, cfg: MartConfig = MartConfig()
+) -> DataFrame:
+    """The series from rows per user and week.
 
     Facts meet the cluster map only; the clean users matter for ``cum_users`` alone. Weeks
     outside the frame (days before the first Monday) find no row and drop out.
     """
     frame = frame_of(users.sparkSession, cfg)
-    weeks = user_weeks(cfg, votes=votes, payments=payments, points=points, attendance=attendance)
     base = _on_frame(frame, weekly_facts(weeks, cluster_map, cfg))
     base = _on_frame(base, weekly_signups(users, cluster_map, cfg))
     base = base.fillna(0, [*ADDITIVE, "joined"])

@@ -81,10 +81,16 @@ def record_text_faults(warehouse: Warehouse, mart: TableStore, batch: str) -> Ba
     return mart.append(TEXT_FAULTS, faults.select(F.lit(batch).alias("run"), "*"), batch)
 
 
-def build_profile(warehouse: Warehouse, cfg: MartConfig, *, strict: bool = False) -> DataFrame:
+def build_weeks(warehouse: Warehouse, cfg: MartConfig, *, strict: bool = False) -> DataFrame:
+    """All facts as one row per user and week: what profile and series are both summed from."""
+    return timeseries.user_weeks(
+        cfg, votes=warehouse.votes, payments=warehouse.payments, points=warehouse.points,
+        attendance=cleaning.attendance_days(warehouse.attendance, strict=strict), blocks=warehouse.blocks)
+
+
+def build_profile(warehouse: Warehouse, weeks: DataFrame, cfg: MartConfig, *, strict: bool = False) -> DataFrame:
     users = cleaning.clean_users(warehouse.users, cfg, strict=strict)
-    return profile.user_profile(
-        users, warehouse.votes, warehouse.payments, warehouse.blocks, warehouse.points, cfg)
+    return profile.profile_of(users, profile.summary_of_weeks(weeks), cfg)
 
 
 def update_super_users(mart: TableStore, people: DataFrame, batch: str, *, refresh: bool = False) -> Batch:
@@ -121,21 +127,19 @@ def update_clusters(mart: TableStore, people: DataFrame, cfg: MartConfig, batch:
     return append_new(mart, CLUSTERS, labelled, batch)
 
 
-def build_timeseries(warehouse: Warehouse, mart: TableStore, cfg: MartConfig, *, strict: bool = False) -> DataFrame:
-    return timeseries.activity_timeseries(
-        warehouse.votes,
-        warehouse.payments,
-        warehouse.points,
-        cleaning.attendance_days(warehouse.attendance, strict=strict),
+def build_timeseries(warehouse: Warehouse, weeks: DataFrame, mart: TableStore, cfg: MartConfig, *,
+                     strict: bool = False) -> DataFrame:
+    return timeseries.series_of_weeks(
+        weeks,
         cleaning.clean_users(warehouse.users, cfg, strict=strict),
         mart.read(CLUSTERS.name, CLUSTERS).where(F.col("cluster").isin(*cfg.targets)),
         cfg,
     )
 
 
-def update_timeseries(warehouse: Warehouse, mart: TableStore, cfg: MartConfig, batch: str, *,
+def update_timeseries(warehouse: Warehouse, weeks: DataFrame, mart: TableStore, cfg: MartConfig, batch: str, *,
                       refresh: bool = False, strict: bool = False) -> Batch:
-    series = build_timeseries(warehouse, mart, cfg, strict=strict)
+    series = build_timeseries(warehouse, weeks, mart, cfg, strict=strict)
     if refresh:
         return refresh_rows(mart, TIMESERIES, series, batch)
     return append_new(mart, TIMESERIES, series, batch)
@@ -162,13 +166,15 @@ def run_activity_mart(
     tables, batch = Warehouse(warehouse), batch_id(run_at)
     if not strict:
         record_text_faults(tables, mart, batch)
-    # Both user marts and every pass of the fit read the profile.
-    with written_once(build_profile(tables, cfg, strict=strict), "profile") as people:
-        written = [
-            update_super_users(mart, people, batch, refresh=refresh),
-            update_clusters(mart, people, cfg, batch, refit=refit, refresh=refresh),
-        ]
-    written.append(update_timeseries(tables, mart, cfg, batch, refresh=refresh or refit, strict=strict))
+    # The facts are read once. Both user marts and every pass of the fit read the profile.
+    with written_once(build_weeks(tables, cfg, strict=strict), "user-weeks") as weeks:
+        with written_once(build_profile(tables, weeks, cfg, strict=strict), "profile") as people:
+            written = [
+                update_super_users(mart, people, batch, refresh=refresh),
+                update_clusters(mart, people, cfg, batch, refit=refit, refresh=refresh),
+            ]
+        written.append(update_timeseries(
+            tables, weeks, mart, cfg, batch, refresh=refresh or refit, strict=strict))
     if replica is not None:
         written += sync_replica(mart, replica, batch, refresh=refresh or refit)
     return written

@@ -6,8 +6,12 @@ from helpers import ATTENDANCE, EVENT, PAYMENT, POINT, table, user, users, value
 from pyspark.errors import PySparkException
 
 from cohortmill import TABLES, AnalysisWindow, MartConfig, TableStore, load_table, run_activity_mart, sync_replica
+from cohortmill.operators.cleaning import clean_users
 from cohortmill.operators.clusters import MODEL_TABLE, score
-from cohortmill.plans.mart import TEXT_FAULTS, Warehouse, append_new, build_timeseries, stored_model
+from cohortmill.operators.profile import user_profile
+from cohortmill.plans.mart import (
+    TEXT_FAULTS, Warehouse, append_new, build_profile, build_timeseries, build_weeks, stored_model,
+)
 from cohortmill.schemas import CLUSTERS, MARTS, SUPER_USERS, TIMESERIES, conform
 from cohortmill.session import hadoop_path, written_once
 from cohortmill.sources.store import DuplicateKey
@@ -124,11 +128,41 @@ def test_refit_relabels_leavers_and_rewrites_the_series(spark, tmp_path):
     assert service.ids(CLUSTERS) == list(range(2, 9))
     again = score(stored.drop("cluster"), model)
     assert values(again, "user_id", "cluster") == values(stored, "user_id", "cluster")
-    fresh = conform(build_timeseries(Warehouse(service.warehouse), service.mart, CFG), TIMESERIES)
+    tables = Warehouse(service.warehouse)
+    fresh = conform(build_timeseries(tables, build_weeks(tables, CFG), service.mart, CFG), TIMESERIES)
     assert values(service.mart.read(TIMESERIES.name, TIMESERIES)) == values(fresh)
     assert before and values(service.replica.read(TIMESERIES.name, TIMESERIES)) == values(fresh)
 
 
+def test_profile_of_weeks_equals_the_profile_of_facts(spark, tmp_path):
+    service = Service(spark, tmp_path)
+    data = content(spark, 12, True)
+    for name in data:
+        load_table(spark, replace(TABLES[name], incremental_col=None), Source(data), service.warehouse, RUN1)
+    tables = Warehouse(service.warehouse)
+    direct = user_profile(
+        clean_users(tables.users, CFG), tables.votes, tables.payments, tables.blocks, tables.points, CFG)
+    assert values(build_profile(tables, build_weeks(tables, CFG), CFG)) == values(direct)
+
+
+def test_a_sync_without_news_reads_no_mart(spark, tmp_path):
+    service = Service(spark, tmp_path)
+    row = "select {} as user_id, 0 as friend_cnt, 1D as recency, 1D as frequency, 0D as monetary, 0 as block_cnt, 1 as cluster"
+    append_new(service.mart, CLUSTERS, spark.sql(row.format(1)), "b0")
+    assert [b.rows for b in sync_replica(service.mart, service.replica, "s0", [CLUSTERS])] == [1]
+    files, location = hadoop_path(spark, f"{service.mart.root}/{CLUSTERS.name}/gen-0/batch-b0")
+    files.delete(location, True)  # what the replica holds is never read again
+    assert [b.committed for b in sync_replica(service.mart, service.replica, "s1", [CLUSTERS])] == [False]
+    service.mart.append(CLUSTERS.name, conform(spark.sql(row.format(1) + " union all " + row.format(2)), CLUSTERS), "b1")
+    assert [b.rows for b in sync_replica(service.mart, service.replica, "s2", [CLUSTERS])] == [1]
+    assert service.ids(CLUSTERS, service.replica) == [1, 2]
+    service.mart.replace(CLUSTERS.name, conform(spark.sql(row.format(3)), CLUSTERS), "b2")
+    sync_replica(service.mart, service.replica, "s3", [CLUSTERS])
+    assert service.ids(CLUSTERS, service.replica) == [1, 2, 3]
+    sync_replica(service.mart, service.replica, "s4", [CLUSTERS], refresh=True)
+    assert service.ids(CLUSTERS, service.replica) == [3]
+
+
 def test_unreadable_text_is_counted_or_stops_the_run(spark, tmp_path):
     service = Service(spark, tmp_path)
     service.run(RUN1, 9)

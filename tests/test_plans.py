@@ -45,7 +45,7 @@ def test_profile_adds_one_exchange_for_the_users(bound):
 
 
 def test_filters_and_columns_reach_the_scan(bound):
-    text = plan(profile.vote_summary(bound.votes, b.CONFIG.window))
+    text = plan(bound.summary)
     assert "GreaterThanOrEqual(ts" in text and "LessThanOrEqual(ts" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
 
@@ -81,3 +81,23 @@ def test_only_keys_of_the_stored_side_are_read(bound):
 def test_stored_keys_are_pruned_to_the_range_of_the_slice(bound):
     text = plan(unseen_in_slice(bound.events.where("event_id > 900"), bound.events, "event_id"))
     assert "GreaterThanOrEqual(event_id,901)" in text
+
+
+def test_stored_keys_pass_the_filter_before_any_exchange(bound):
+    """Without a broadcast of keys and with a range over the whole table: every exchange of stored
+    keys lies above the join with the bounded filter."""
+    lines = plan(unseen_in_slice(bound.events, bound.events, "event_id")).splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "struct<event_id:bigint>" in line]
+    joins = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "LeftSemi" in line]
+    assert len(joins) == 1
+    stored = min(i for i in scans if i > joins[0])
+    assert not any("Exchange" in line for line in lines[joins[0]:stored])
+
+
+def test_profile_and_series_of_weeks_read_no_facts(bound):
+    weeks = bound.spark.range(1).selectExpr(
+        "id as user_id", "date'2024-01-08' as week_start", "1L as votes", "1L as paid", "1L as blocked", "1L as revenue",
+        "1L as point_burn", "1L as net_flow", "timestamp'2024-01-08' as last_vote", "timestamp'2024-01-08' as last_act")
+    people = profile.profile_of(bound.clean, profile.summary_of_weeks(weeks), b.CONFIG)
+    series = timeseries.series_of_weeks(weeks, bound.clean, bound.clean.selectExpr("user_id", "1 as cluster"), b.CONFIG)
+    assert "event_type" not in plan(people) + plan(series)
