@@ -172,6 +172,17 @@ class Bound:
     def general(self) -> DataFrame:
         return general_users(self.profile)
 
+    @cached_property
+    def grouped(self) -> DataFrame:
+        """Ordinary users in six far-apart groups by key, with a little spread inside each: the
+        groups any fit must find, numbered by the recency of their centres."""
+        return self.general.selectExpr(
+            "user_id", "cast(10 * (user_id % 6) as int) as friend_cnt",
+            "cast(40 * (user_id % 6) + user_id % 3 as bigint) as recency",
+            "cast(user_id % 2 as bigint) as frequency",
+            "cast(100 * (user_id % 6) as bigint) as monetary",
+            "cast(if(user_id % 6 = 3, 50, 0) as bigint) as block_cnt")
+
     @cached_property
     def cluster_map(self) -> DataFrame:
         return score(self.general, MODEL).select("user_id", "cluster")

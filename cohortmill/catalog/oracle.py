@@ -350,6 +350,13 @@ UNION ALL SELECT 'accounts_attendance', 'date', 2 * count(*) FROM attendance
   CAST(f.monetary AS DOUBLE) AS monetary, CAST(f.block_cnt AS INT) AS block_cnt,
   CAST(l.cluster AS TINYINT) AS cluster
 FROM features AS f JOIN labels AS l ON l.user_id = f.user_id"""),
+        "cluster_users": _with(
+            *people,
+            select="""SELECT user_id, CAST(10 * (user_id % 6) AS INT) AS friend_cnt,
+  CAST(40 * (user_id % 6) + user_id % 3 AS DOUBLE) AS recency, CAST(user_id % 2 AS DOUBLE) AS frequency,
+  CAST(100 * (user_id % 6) AS DOUBLE) AS monetary,
+  CAST(CASE WHEN user_id % 6 = 3 THEN 50 ELSE 0 END AS INT) AS block_cnt, CAST(user_id % 6 AS TINYINT) AS cluster
+FROM profile WHERE user_type = 'General'"""),
         "week_frame": f"""WITH span AS (SELECT CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS z FROM events),
 mondays AS (
   SELECT d, row_number() OVER (ORDER BY d) AS n

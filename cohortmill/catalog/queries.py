@@ -139,8 +139,8 @@ def score_clusters(t):
 
 @query
 def cluster_users(t):
-    """Labels by a model fitted to the data."""
-    labelled, _ = clusters.cluster_users(t.general, b.CONFIG)
+    """Labels by a model fitted to the data, whose groups are known."""
+    labelled, _ = clusters.cluster_users(t.grouped, b.CONFIG)
     return conform(labelled, CLUSTERS)
 
 
@@ -227,7 +227,10 @@ def incremental_new_rows(t):
     """Scan that looks back five days, less the keys loaded up to the mark."""
     events = t.events
     loaded = events.where(F.col("ts") <= F.lit(str(b.MARK)).cast("timestamp"))
-    return unseen_in_slice(rows_since(events, "ts", b.MARK - timedelta(days=5)), loaded, "event_id")
+    fresh = rows_since(events, "ts", b.MARK - timedelta(days=5))
+    path = scratch_dir(t.spark, "increment")  # the lazy result reads it
+    fresh.write.parquet(path)
+    return unseen_in_slice(t.spark.read.schema(fresh.schema).parquet(path), loaded, "event_id")
 
 
 @query

@@ -22,7 +22,8 @@ FULL, INCREMENTAL, SKIPPED = "FULL", "INCREMENTAL", "SKIPPED"
 
 
 class Source(Protocol):
-    def table(self, cfg: TableConfig) -> DataFrame: ...
+    def table(self, cfg: TableConfig, after: datetime | None = None) -> DataFrame:
+        """A table. Only rows later than ``after`` will be kept of it, which a source may use."""
 
 
 @dataclass(frozen=True)
@@ -94,10 +95,11 @@ def load_table(
         return LoadResult(cfg.name, done.row_count, SKIPPED)
     mark = commits[-1].last_synced_at if commits else None
     mode = choose_mode(cfg, mark)
-    rows = source.table(cfg)
+    after = mark - options.lookback if mode == INCREMENTAL else None
+    rows = source.table(cfg, after)
     upto = sync_start if options.upper_bound and cfg.incremental_col else None
     if mode == INCREMENTAL:
-        rows = incremental_scan(rows, cfg.incremental_col, mark - options.lookback, upto)
+        rows = incremental_scan(rows, cfg.incremental_col, after, upto)
     elif upto is not None:
         later = F.col(cfg.incremental_col) > utc_literal(upto).cast(rows.schema[cfg.incremental_col].dataType)
         rows = rows.where(~F.coalesce(later, F.lit(False)))

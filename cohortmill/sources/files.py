@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,6 @@ class FileSource:
     folder: str
     views: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
 
-    def table(self, cfg: TableConfig) -> DataFrame:
+    def table(self, cfg: TableConfig, after: datetime | None = None) -> DataFrame:
         view = self.views.get(cfg.name)
         return zoned(view() if view else read_table(self.spark, self.folder, cfg.name))

@@ -3,6 +3,9 @@
 Each partition is one query with its own cursor; ``fetchsize`` rows travel per round trip, so
 neither the driver nor a task ever holds a whole table. Column pruning and the incremental
 filter reach the database, because both stay ordinary DataFrame operations on the scan.
+
+Without a range or slices given by hand, the keys of the rows to be read are asked for first
+(one row of ``min`` and ``max``), so that an increment is spread over all strides too.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..config import TableConfig
 from .files import zoned
@@ -33,23 +37,40 @@ class JdbcSource:
     properties: dict[str, str] = field(default_factory=dict)
     ranges: dict[str, KeyRange] = field(default_factory=dict)
     predicates: dict[str, list[str]] = field(default_factory=dict)
+    partitions: int = 32
 
     def _cursor(self) -> dict[str, str]:
         """What makes the driver honour the fetch size. Connector/J buffers a whole result without it."""
         mysql = self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:"))
         return {"useCursorFetch": "true"} if mysql else {}
 
-    def options(self, cfg: TableConfig) -> dict[str, str]:
-        """Reader options of one table; a key range makes the read parallel."""
-        options = {
+    def _reader(self, cfg: TableConfig) -> dict[str, str]:
+        return {
             "url": self.url,
-            "dbtable": cfg.name,
             "fetchsize": str(cfg.fetch_size),
             "pushDownPredicate": "true",
             **self._cursor(),
             **self.properties,
         }
-        span = self.ranges.get(cfg.name)
+
+    def bounds_query(self, cfg: TableConfig, after: datetime | None) -> str:
+        """The least and greatest key of the rows later than ``after``."""
+        later = "" if after is None else f" WHERE {cfg.incremental_col} > '{after:%Y-%m-%d %H:%M:%S.%f}'"
+        return f"SELECT MIN({cfg.pk}) AS low, MAX({cfg.pk}) AS high FROM {cfg.name}{later}"
+
+    def _span(self, cfg: TableConfig, after: datetime | None) -> KeyRange | None:
+        """Key range of the rows to read; none for tables without a key, without rows, or whose
+        keys are no whole numbers."""
+        if cfg.name in self.ranges or not cfg.pk:
+            return self.ranges.get(cfg.name)
+        found = self.spark.read.format("jdbc").options(
+            **self._reader(cfg), query=self.bounds_query(cfg, after)).load()
+        return key_range(found, self.partitions)
+
+    def options(self, cfg: TableConfig, span: KeyRange | None = None) -> dict[str, str]:
+        """Reader options of one table; a key range makes the read parallel."""
+        options = {"dbtable": cfg.name, **self._reader(cfg)}
+        span = span or self.ranges.get(cfg.name)
         if span and cfg.pk:
             options |= {
                 "partitionColumn": cfg.pk,
@@ -59,12 +80,22 @@ class JdbcSource:
             }
         return options
 
-    def table(self, cfg: TableConfig) -> DataFrame:
+    def table(self, cfg: TableConfig, after: datetime | None = None) -> DataFrame:
+        """The table; ``after`` tells which rows will be kept, to spread just those evenly."""
         slices = self.predicates.get(cfg.name)
         if slices:
             properties = {**self._cursor(), **self.properties, "fetchsize": str(cfg.fetch_size)}
             return zoned(self.spark.read.jdbc(self.url, cfg.name, predicates=slices, properties=properties))
-        return zoned(self.spark.read.format("jdbc").options(**self.options(cfg)).load())
+        span = self._span(cfg, after)
+        return zoned(self.spark.read.format("jdbc").options(**self.options(cfg, span)).load())
+
+
+def key_range(found: DataFrame, partitions: int) -> KeyRange | None:
+    """One row of ``low`` and ``high`` as a range; the strides' upper end is exclusive."""
+    whole = all(isinstance(f.dataType, T.IntegralType) or
+                isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 0 for f in found.schema)
+    row = found.first() if whole else None
+    return None if row is None or row[0] is None else KeyRange(int(row[0]), int(row[1]) + 1, partitions)
 
 
 def time_slices(column: str, edges: Iterable[datetime]) -> list[str]:

@@ -3,7 +3,7 @@
 from datetime import datetime
 
 from cohortmill import TABLES, JdbcSource
-from cohortmill.sources.jdbc import KeyRange, even_edges, time_slices
+from cohortmill.sources.jdbc import KeyRange, even_edges, key_range, time_slices
 
 
 def test_plain_options():
@@ -30,3 +30,20 @@ def test_time_slices_cover_every_row_once(spark):
                    " ('2025-01-01') as x(s)").selectExpr("cast(s as timestamp) as t")
     assert [df.where(s).count() for s in slices] == [2, 1, 1, 2]
     assert time_slices("t", []) == ["1 = 1"]
+
+
+def test_bounds_are_those_of_the_rows_to_read(spark):
+    source = JdbcSource(None, "jdbc:mysql://host/raw", partitions=16)
+    cfg = TABLES["accounts_userquestionrecord"]
+    assert source.bounds_query(cfg, None) == f"SELECT MIN(id) AS low, MAX(id) AS high FROM {cfg.name}"
+    assert source.bounds_query(cfg, datetime(2024, 1, 15)).endswith(
+        f"FROM {cfg.name} WHERE {cfg.incremental_col} > '2024-01-15 00:00:00.000000'")
+    span = key_range(spark.sql("select 901L as low, cast(1600 as decimal(20,0)) as high"), source.partitions)
+    assert span == KeyRange(901, 1601, 16)
+    got = source.options(cfg, span)
+    assert (got["lowerBound"], got["upperBound"], got["numPartitions"]) == ("901", "1601", "16")
+
+
+def test_no_range_for_no_rows_or_text_keys(spark):
+    assert key_range(spark.sql("select cast(null as int) as low, cast(null as int) as high"), 4) is None
+    assert key_range(spark.sql("select 'a' as low, 'b' as high"), 4) is None

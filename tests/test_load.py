@@ -20,7 +20,7 @@ class Tables:
     content: dict = field(default_factory=dict)
     order: list = field(default_factory=list)
 
-    def table(self, cfg):
+    def table(self, cfg, after=None):
         self.order.append(cfg.name)
         return self.content[cfg.name]
 

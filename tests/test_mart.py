@@ -26,7 +26,7 @@ RUN1, RUN2, RUN3 = datetime(2023, 6, 22), datetime(2023, 6, 29), datetime(2023,
 class Source:
     content: dict
 
-    def table(self, cfg):
+    def table(self, cfg, after=None):
         return self.content[cfg.name]
 
 

@@ -7,6 +7,8 @@ import os
 import pytest
 
 from cohortmill import catalog
+from cohortmill.catalog.bindings import CONFIG, Bound
+from cohortmill.operators.clusters import cluster_users
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 duckdb = pytest.importorskip("duckdb")
@@ -43,12 +45,12 @@ def test_query_equals_sql(spark, tables, name):
     assert got == want
 
 
-def test_only_the_fit_has_no_sql():
-    assert set(catalog.QUERIES) - set(ORACLE) == {"cluster_users"}
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(ORACLE)
 
 
 def test_fitted_clusters_cover_every_ordinary_user(spark, tables):
-    labelled = catalog.QUERIES["cluster_users"](spark, FOLDER).collect()
+    labelled = cluster_users(Bound(spark, FOLDER).general, CONFIG)[0].collect()
     assert {r.cluster for r in labelled} <= set(range(6))
     ids = [r.user_id for r in labelled]
     people = {r[0] for r in tables.execute(ORACLE["general_users"]).fetchall()}
