@@ -28,6 +28,7 @@ from .common import WS, scratch_table, whole
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
+HOT_SHARE = 1000  # a key with a thousandth of all rows is joined without a shuffle
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
@@ -86,9 +87,27 @@ def suspects(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def condemned(found: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """``key, keeper`` of the keys that truly are in enough documents."""
+    """``key, n, keeper`` of the keys that truly are in enough documents."""
     return found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).where(
-        F.col("n") >= min_documents).select("key", "keeper")
+        F.col("n") >= min_documents)
+
+
+def _with_keeper(found: DataFrame, min_documents: int) -> DataFrame:
+    """Rows of ``found`` whose key is condemned, with the keeper of that key.
+
+    A key that holds at least one of ``HOT_SHARE`` parts of all rows would be one heavy task of a
+    join by key. There are at most ``HOT_SHARE`` such keys, whatever the input, so their digests and
+    keepers go to the rows by broadcast; all other keys meet by shuffle.
+    """
+    judged = scratch_table(condemned(found, min_documents), "condemned")
+    least = max(found.count() / HOT_SHARE, 1.0)
+    digest = F.sha2(F.col("key").cast("binary"), 256).alias("digest")
+    hot = F.broadcast(judged.where(F.col("n") >= least).select(digest, "keeper"))
+    marked = found.withColumn("digest", digest)
+    cold = marked.join(hot.select("digest"), "digest", "left_anti").join(
+        judged.where(F.col("n") < least).select("key", "keeper"), "key")
+    columns = ("doc_id", "text_hash", "places", "keeper")
+    return marked.join(hot, "digest").select(*columns).union(cold.select(*columns))
 
 
 def drop_repeated_lines(
@@ -96,7 +115,7 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """``row`` with all columns of a document, ``n_lines``, ``n_dropped`` and the ``text`` kept."""
     found = scratch_table(suspects(docs, min_chars), "suspects")  # read twice: to count, and to drop
-    losses = found.join(condemned(found, min_documents), "key").where("doc_id <> keeper").groupBy(
+    losses = _with_keeper(found, min_documents).where("doc_id <> keeper").groupBy(
         "doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("drop"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"),
                        F.xxhash64(whole("text")).alias("mark"))

@@ -88,9 +88,14 @@ def test_guess_cost_prefers_the_cheapest_segmentation():
     assert cost["qwertyuiop"] < 4 and cost["aaaaaaaaaa"] < 4
 
 
-def test_line_dedup(docs, empty):
+def test_line_dedup(docs, empty, monkeypatch):
     got = brute.collected(linededup.drop_repeated_lines(docs), "row.doc_id", "n_lines", "n_dropped", "text")
     assert got == sorted(brute.line_dedup(ROWS), key=repr)
+    for share in (1, 4):  # no key is hot, only the most common ones are
+        monkeypatch.setattr(linededup, "HOT_SHARE", share)
+        assert brute.collected(
+            linededup.drop_repeated_lines(docs), "row.doc_id", "n_lines", "n_dropped", "text") == got
+    monkeypatch.undo()
     again = linededup.dedupe_documents(docs)
     assert again.columns == docs.columns and brute.count(linededup.drop_repeated_lines(empty)) == 0
 
