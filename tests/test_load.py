@@ -6,6 +6,8 @@ from helpers import EVENT, at, table, user, users, values
 
 from cohortmill import STAGES, TABLES, TableConfig, load_table, load_warehouse
 from cohortmill.plans.load import FULL, INCREMENTAL, SKIPPED, LoadOptions, choose_mode
+from cohortmill.session import hadoop_path
+from cohortmill.sources import TableStore
 
 DAY1, DAY2, DAY3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 KEYED = TableConfig("facts", "created_at", "id")
@@ -158,6 +160,33 @@ def test_full_load_drops_vanished_rows(spark, store):
     assert ids(store) == [2]
 
 
+def test_daily_full_loads_leave_two_generations(spark, store):
+    run = runner(spark, store, WHOLE)
+    for day in range(1, 5):
+        run(facts(spark, (day, "2023-12-31")), datetime(2024, 1, day))
+    assert ids(store) == [4] and store.last_synced_at("raw_facts") == datetime(2024, 1, 4)
+    files, folder = hadoop_path(spark, f"{store.root}/raw_facts")
+    assert sorted(s.getPath().getName() for s in files.listStatus(folder)) == ["gen-2", "gen-3"]
+
+
+def test_many_small_batches_are_folded(spark, store):
+    run = runner(spark, store, KEYED, compact_after=2)
+    for day in range(1, 6):
+        run(facts(spark, (day, f"2024-01-0{day} 01:00:00")), datetime(2024, 1, day, 2))
+    assert ids(store) == [1, 2, 3, 4, 5] and len(store.live("raw_facts")) <= 3
+    assert values(store.sync_state(), "row_count") == [(1,)]
+    assert run(facts(spark, (5, "2024-01-05 01:00:00")), datetime(2024, 1, 5, 2)).mode == SKIPPED
+
+
+def test_the_log_is_read_once(spark, store):
+    run = runner(spark, store, KEYED)
+    run(facts(spark, (1, "2023-12-31")), DAY1)
+    other = TableStore(spark, store.root)
+    assert other.commits("raw_facts") == store.commits("raw_facts")
+    run(facts(spark, (2, "2024-01-01 12:00:00")), DAY2)
+    assert other.commits("raw_facts") == store.commits("raw_facts") and len(other.commits("raw_facts")) == 2
+
+
 def test_cleaning_rule_is_applied(spark, store):
     source = Tables({"accounts_user": users(spark, user(1), user(2, gender=None))})
     load_table(spark, TABLES["accounts_user"], source, store, DAY1)
