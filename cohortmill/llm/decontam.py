@@ -8,8 +8,10 @@ Benchmark items are the queries; every passage of every document is searched for
 3. A randomised SVD of the passage-term matrix over all passages: every task adds up its share of
    ``A'A W`` for one random ``W``; the sum is vocabulary x rank, and Nystrom's formula turns it into
    the leading right singular vectors.
-4. Passages are windows of 8-word blocks, as long as the item they are compared with. Those whose
-   latent vector has a cosine of at least ``COSINE`` with the item's, and at least ``PROJECTION`` of
+4. Passages are windows of 8-word blocks, as long as the item they are compared with: the shortest
+   has 2 blocks, and lengths double until they cover the longest item. Long windows begin at every
+   eighth of their length and have margins of a quarter, so that one of them holds all of an item,
+   however long, wherever it stands. Those whose latent vector has a cosine of at least ``COSINE`` with the item's, and at least ``PROJECTION`` of
    its length in that direction, are candidates. The first ``SKIP`` directions, in which all
    passages of a language point, are left out.
 5. A candidate is a leak if the longest common subsequence of words covers ``VERBATIM`` of the item,
@@ -41,12 +43,12 @@ from .common import scratch_table, whole
 
 ITEMS = 4000
 BLOCK = 8
-SCALES = (2, 4, 8)  # blocks of a window
+SHORTEST = 2  # blocks of the shortest window; longer ones double
 RANK, SKIP, OVERSAMPLE = 128, 8, 16
 COSINE, PROJECTION = 0.45, 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 SLICE = 1 << 14  # words whose vectors are held at once: they fit a core's cache
-MARGIN = 2 * BLOCK  # words around a window that belong to its candidate
+CELLS = 1 << 22  # words of candidates that are compared at once
 
 # Lower case and blanks for punctuation, on UTF-8 bytes.
 _CLEAN = bytes(ord(" ") if chr(i) in string.punctuation else i for i in range(256))
@@ -56,12 +58,25 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").translate(_CLEAN).split()
 
 
+def _scale(length: int) -> int:
+    """Blocks of the windows that an item of so many words is compared with."""
+    scale = SHORTEST
+    while scale * BLOCK < 0.8 * length:
+        scale *= 2
+    return scale
+
+
+def _margin(scale: int) -> int:
+    """Words on either side of a window that belong to its candidate."""
+    return max(2 * BLOCK, scale * BLOCK // 4)
+
+
 class Item:
     """An item as ids, with what the common subsequence needs."""
 
     def __init__(self, item_id: object, ids: list[int]):
         self.item_id, self.ids, self.kinds = item_id, ids, set(ids)
-        self.scale = next((s for s in SCALES if s * BLOCK >= 0.8 * len(ids)), SCALES[-1])
+        self.scale = _scale(len(ids))
         self.answer = ids[-max(3, len(ids) // 4):]
 
     def common(self, words: list[int], part: list[int] | None = None) -> float:
@@ -130,15 +145,17 @@ def _frequencies(encoded: DataFrame, size: int) -> np.ndarray:
 def _slices(arrays: list[np.ndarray], overlap: int = 0) -> Iterator[tuple[list[int], list[int], list[np.ndarray]]]:
     """Stretches of documents, about ``SLICE`` words at a time: document, first word, words.
 
-    A longer document is cut into stretches that overlap, so that no window is lost.
+    A longer document is cut into stretches that overlap, so that no window is lost. The step is
+    never shorter than the overlap: no word is in more than two stretches.
     """
+    step = max(SLICE, overlap)
     docs: list[int] = []
     firsts: list[int] = []
     parts: list[np.ndarray] = []
     size = 0
     for doc, ids in enumerate(arrays):
-        for first in range(0, len(ids), SLICE):
-            part = ids[first:first + SLICE + overlap]
+        for first in range(0, len(ids), step):
+            part = ids[first:first + step + overlap]
             if size and size + len(part) > SLICE:
                 yield docs, firsts, parts
                 docs, firsts, parts, size = [], [], [], 0
@@ -241,57 +258,59 @@ def _search(encoded: DataFrame, items: list[tuple], weights: np.ndarray, basis:
         given, vectors = shared.value
         made = [Item(item_id, ids) for item_id, ids in given]
         scaled = {}
-        for scale in SCALES:
+        for scale in sorted({item.scale for item in made}):
             numbers = [i for i, item in enumerate(made) if item.scale == scale]
-            if numbers:
-                latent = np.stack([vectors[made[i].ids].sum(axis=0) for i in numbers])
-                length = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
-                member = np.zeros((len(numbers), len(vectors)), dtype=bool)
-                for row, i in enumerate(numbers):
-                    member[row, made[i].ids] = True
-                # What must be there of an item's distinct words if PARAPHRASE of all its words is.
-                needed = np.array([len(made[i].kinds) - (1 - PARAPHRASE) * len(made[i].ids) for i in numbers])
-                scaled[scale] = np.array(numbers), (latent / length[:, None]).T, PROJECTION * length, member, needed
-        longest = SCALES[-1] * BLOCK + 2 * MARGIN
+            latent = np.stack([vectors[made[i].ids].sum(axis=0) for i in numbers])
+            length = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
+            member = np.zeros((len(numbers), len(vectors)), dtype=bool)
+            for row, i in enumerate(numbers):
+                member[row, made[i].ids] = True
+            # What must be there of an item's distinct words if PARAPHRASE of all its words is.
+            needed = np.array([len(made[i].kinds) - (1 - PARAPHRASE) * len(made[i].ids) for i in numbers])
+            scaled[scale] = np.array(numbers), (latent / length[:, None]).T, PROJECTION * length, member, needed
+        outer = _margin(max(scaled, default=SHORTEST))
+        longest = max(scaled, default=SHORTEST) * BLOCK + 2 * outer
         for batch in batches:
             best: dict[tuple[int, int], tuple] = {}
             for docs, firsts, parts in _slices(_id_arrays(batch), longest):
                 flat, block, owner, first = _blocked(parts, BLOCK)
                 known = np.flatnonzero(flat)
                 sums, reach = _summed(vectors[flat[known]], block[known], len(owner)), 1
-                padded = np.concatenate([np.zeros(MARGIN, flat.dtype), flat, np.zeros(longest, flat.dtype)])
+                padded = np.concatenate([np.zeros(outer, flat.dtype), flat, np.zeros(longest, flat.dtype)])
                 begins = np.searchsorted(block, np.arange(len(owner)))
-                for scale in SCALES:
+                for scale in scaled:
                     while reach < scale:
                         # Twice as many blocks, as far as the stretch goes.
                         more = np.zeros_like(sums)
                         same = np.flatnonzero(owner[reach:] == owner[:-reach])
                         more[same] = sums[same + reach]
                         sums, reach = sums + more, 2 * reach
-                    if scale not in scaled:
-                        continue
                     numbers, latent, least, member, needed = scaled[scale]
-                    along = sums @ latent
-                    near = (along >= least) & (along >= cosine * np.linalg.norm(sums, axis=1)[:, None])
-                    windows, columns = np.nonzero(near)
-                    if not len(windows):
-                        continue
+                    starts = np.flatnonzero((np.arange(len(owner)) - first[owner]) % max(1, scale // 8) == 0)
+                    sought = sums if len(starts) == len(sums) else sums[starts]
+                    along = sought @ latent
+                    near = (along >= least) & (along >= cosine * np.linalg.norm(sought, axis=1)[:, None])
+                    rows, columns = np.nonzero(near)
                     # The window and a margin, of which words of neighbouring texts are blanked.
-                    span = np.arange(scale * BLOCK + 2 * MARGIN)
-                    places = begins[windows][:, None] + span - MARGIN
-                    stretch = owner[windows]
-                    low = begins[first[stretch]][:, None]
-                    high = low + np.array([len(x) for x in parts])[stretch][:, None]
-                    seen = np.where((places >= low) & (places < high), padded[places + MARGIN], 0)
-                    ordered = np.sort(seen, axis=1)
-                    fresh = np.concatenate([np.ones((len(seen), 1), dtype=bool), ordered[:, 1:] != ordered[:, :-1]], axis=1)
-                    hits = (member[columns[:, None], ordered] & fresh).sum(axis=1)
-                    for i in np.flatnonzero(hits >= needed[columns]).tolist():
-                        number, part = int(numbers[columns[i]]), int(stretch[i])
-                        found = made[number].verdict(seen[i].tolist())
-                        if found and found[0] > best.get((docs[part], number), (0, 0.0))[1]:
-                            place = firsts[part] + BLOCK * (int(windows[i]) - int(first[part]))
-                            best[docs[part], number] = (place, *found)
+                    margin = _margin(scale)
+                    span = np.arange(scale * BLOCK + 2 * margin)
+                    step = max(1, CELLS // len(span))
+                    for begin in range(0, len(rows), step):
+                        windows, column = starts[rows[begin:begin + step]], columns[begin:begin + step]
+                        places = begins[windows][:, None] + span - margin
+                        stretch = owner[windows]
+                        low = begins[first[stretch]][:, None]
+                        high = low + np.array([len(x) for x in parts])[stretch][:, None]
+                        seen = np.where((places >= low) & (places < high), padded[places + outer], 0)
+                        ordered = np.sort(seen, axis=1)
+                        fresh = np.concatenate([np.ones((len(seen), 1), dtype=bool), ordered[:, 1:] != ordered[:, :-1]], axis=1)
+                        hits = (member[column[:, None], ordered] & fresh).sum(axis=1)
+                        for i in np.flatnonzero(hits >= needed[column]).tolist():
+                            number, part = int(numbers[column[i]]), int(stretch[i])
+                            found = made[number].verdict(seen[i].tolist())
+                            if found and found[0] > best.get((docs[part], number), (0, 0.0))[1]:
+                                place = firsts[part] + BLOCK * (int(windows[i]) - int(first[part]))
+                                best[docs[part], number] = (place, *found)
             out = [(doc, number, *value) for (doc, number), value in best.items()]
             if out:
                 rows, numbers, places, shares, kinds = zip(*out, strict=True)

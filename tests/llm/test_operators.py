@@ -151,6 +151,24 @@ def test_decontamination(spark, docs, empty):
     assert brute.count(decontam.leaks(table, items.limit(0))) == 0
 
 
+@pytest.mark.parametrize("length", [130, 161, 400, 3000])
+def test_decontamination_finds_long_items(spark, length):
+    from random import Random
+
+    draw = Random(length)
+    pool = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "nu") for b in ("sta", "ren", "dol", "vik", "tor") for c in "aeiou"]
+    words = draw.choices(pool, k=length)
+    told = [w if draw.random() < 0.8 or i > 0.7 * length else "changed" for i, w in enumerate(words)]
+    before, after = (" ".join(draw.choices(pool, k=n)) for n in (4001, 133))
+    planted = [(100, " ".join(words)), (101, f"{before} {' '.join(words)} {after}"), (102, f"{before} {' '.join(told)} {after}"),
+               (103, " ".join(draw.choices(pool, k=16_200)) + " " + " ".join(words)), (104, " ".join(words[:length // 2]))]
+    table = brute.docs(spark, [(i, " ".join(draw.choices(pool, k=150))) for i in range(40)] + planted)
+    items = spark.createDataFrame([(1, " ".join(words)), (2, ITEM)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontam.leaks(table, items).collect()}
+    assert set(found) == {(100, 1), (101, 1), (102, 1), (103, 1)}
+    assert all(found[i, 1].kind == "verbatim" and found[i, 1].share == 1.0 for i in (100, 101, 103))
+
+
 def test_sharding(docs, empty):
     tree = sharding.regrouped(40)
     out = sharding.place(docs, tree).collect()
