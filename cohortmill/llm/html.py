@@ -1,19 +1,22 @@
 """HTML extraction by union-free regular-expression inference.
 
 Every page becomes a stream of block tags and text slots, implied end tags filled in and repeats
-folded into ``+`` groups. The streams of a host are aligned one after another: what agrees stays,
-what only one of them has becomes an optional group. The result is the host's wrapper, an
+folded into ``+`` groups. The streams of a host are aligned one after another: what agrees, inside
+the same elements, stays; what only one of them has becomes an optional group. The result is the host's wrapper, an
 expression of tags, slots, ``+`` and ``?`` that matches all its pages, without any alternative.
 
-The slots of the wrapper are then judged by where they stand: article or main text, or, on a host
-that marks neither, the container with most text that is no link and differs between pages. Slots in
-menus, headers, footers, sidebars, notices, adverts, forms and comments are never content. A page's
-text is the text in its content slots.
+The slots of the wrapper that a page fills are then judged by where they stand: article or main
+text, or, in a page that marks neither, the container with most text on the host that is no link and
+differs between pages (most text in the page, where the host does not tell: it has copies of one page
+only, or the url names no host). So templates of a host do not compete. Slots in menus, headers,
+footers, sidebars, notices, adverts, forms and comments are never content. A page's text is the text
+in its content slots.
 
 Streams of a host are first folded together over salted parts, then over the parts' wrappers, so a
 host with a third of all pages is no single task; equal streams count once.
 
-Defined results: null or empty html has no text; pages without a host in their url share a wrapper;
+Defined results: null or empty html has no text; pages without a host in their url share a wrapper,
+but each is judged by its own text;
 a tag cut off at the end of a page is no text; repeated rows are extracted each. A page is whatever
 comes in a row: neither length nor number of blocks is bounded. Other columns are not read.
 """
@@ -23,6 +26,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -208,36 +212,51 @@ def _balanced(unit: list) -> bool:
     return depth == 0
 
 
-def _key(node: object) -> str:
-    """What two nodes must share to be aligned: a unit alone aligns with its group."""
-    return node if isinstance(node, str) else json.dumps(node[1][0] if node[0] == "+" and node[1] else node)
+def _places(marks: list[tuple[object, bool]], numbers: dict[tuple[int, object], int]) -> list[int]:
+    """What two nodes must share to be aligned, as a number: themselves and the elements they stand in."""
+    out, names, inside = [], [], [0]
+    for node, _ in marks:
+        if node[0] == "<" and node[1] != "/":
+            out.append(numbers.setdefault((inside[-1], node), len(numbers) + 1))
+            names.append(node[1:-1])
+            inside.append(out[-1])
+            continue
+        if node[0] == "<" and node[2:-1] in names:
+            upto = len(names) - 1 - names[::-1].index(node[2:-1])
+            del names[upto:], inside[upto + 1:]
+        out.append(numbers.setdefault((inside[-1], node), len(numbers) + 1))
+    return out
 
 
 def align(left: list, right: list) -> list:
     """A wrapper that matches whatever either side matches.
 
     The longest common subsequence of nodes stays; stretches between that one side alone has become
-    optional. An optional group of one side is aligned as what it holds.
+    optional. An optional group of one side is aligned as what it holds. Nodes agree only inside the
+    same elements, so every slot of the result stands where it stood in one of the sides.
     """
     if left == right:
         return left
     a, b = _opened(left), _opened(right)
+    numbers: dict[tuple[int, object], int] = {}
+    p, q = _places(a, numbers), _places(b, numbers)
     n, m = len(a), len(b)
     begin = 0
-    while begin < min(n, m) and a[begin][0] == b[begin][0]:
+    while begin < min(n, m) and p[begin] == q[begin]:
         begin += 1
     end = 0
-    while end < min(n, m) - begin and a[n - 1 - end][0] == b[m - 1 - end][0]:
+    while end < min(n, m) - begin and p[n - 1 - end] == q[m - 1 - end]:
         end += 1
     x, y = a[begin:n - end], b[begin:m - end]
+    p, q = p[begin:n - end], q[begin:m - end]
     table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
-            table[i][j] = table[i + 1][j + 1] + 1 if x[i][0] == y[j][0] else max(table[i + 1][j], table[i][j + 1])
-    merged = [(node, p or q) for (node, p), (_, q) in zip(a[:begin], b[:begin], strict=True)]
+            table[i][j] = table[i + 1][j + 1] + 1 if p[i] == q[j] else max(table[i + 1][j], table[i][j + 1])
+    merged = [(node, one or other) for (node, one), (_, other) in zip(a[:begin], b[:begin], strict=True)]
     i = j = 0
     while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i][0] == y[j][0]:
+        if i < len(x) and j < len(y) and p[i] == q[j]:
             merged.append((x[i][0], x[i][1] or y[j][1]))
             i, j = i + 1, j + 1
         elif j == len(y) or (i < len(x) and table[i + 1][j] >= table[i][j + 1]):
@@ -247,7 +266,7 @@ def align(left: list, right: list) -> list:
             merged.append((y[j][0], True))
             j += 1
     if end:
-        merged += [(node, p or q) for (node, p), (_, q) in zip(a[n - end:], b[m - end:], strict=True)]
+        merged += [(node, one or other) for (node, one), (_, other) in zip(a[n - end:], b[m - end:], strict=True)]
     return _closed(merged)
 
 
@@ -317,6 +336,7 @@ def slots(wrapper: list) -> list[str]:
     return list(found)
 
 
+@lru_cache(1 << 16)
 def _excluded(path: str) -> bool:
     inside = False
     for name in path.split(">"):
@@ -329,6 +349,7 @@ def _excluded(path: str) -> bool:
     return False
 
 
+@lru_cache(1 << 16)
 def _marked(path: str) -> bool:
     for name in path.split(">"):
         tag, _, names = name.partition(".")
@@ -337,19 +358,21 @@ def _marked(path: str) -> bool:
     return False
 
 
-def content_slots(paths: list[str], volumes: dict[str, int]) -> list[str]:
-    """The slots whose text is the article. ``volumes``: text beside links that differs by page."""
+def content_slots(paths: list[str], volumes: dict[str, int], lengths: dict[str, int]) -> list[str]:
+    """Those of a page's slots whose text is the article. ``volumes``: text beside links on the host
+    that differs by page; ``lengths``: text beside links in the page, which decides between equals."""
     usable = [path for path in paths if not _excluded(path)]
     marked = [path for path in usable if _marked(path)]
     if marked:
         return marked
-    weight: dict[str, int] = {}
+    weight: dict[str, tuple[int, int]] = {}
     for path in usable:
         parent = path.rpartition(">")[0] or path
-        weight[parent] = weight.get(parent, 0) + volumes.get(path, 0)
+        volume, length = weight.get(parent, (0, 0))
+        weight[parent] = volume + volumes.get(path, 0), length + lengths[path]
     if not weight:
         return []
-    chosen = max(sorted(weight), key=lambda parent: (weight[parent], parent.count(">")))
+    chosen = max(sorted(weight), key=lambda parent: (*weight[parent], parent.count(">")))
     return [path for path in usable if path == chosen or path.startswith(f"{chosen}>")]
 
 
@@ -362,14 +385,15 @@ def _hosted(pages: DataFrame) -> DataFrame:
 
 
 def _observed(pages: DataFrame) -> DataFrame:
-    """``host, wrapper, slots`` of every page: its folded stream and, by slot, the length of the text
-    beside links and a hash of the text. Written once, since wrappers and volumes both come from it."""
-    schema = "host string, wrapper string, slots array<struct<path:string,length:bigint,mark:bigint>>"
+    """``host, wrapper, page, slots`` of every page: its folded stream, a hash of its slots and, by
+    slot, the length of the text beside links and a hash of the text. Written once, since wrappers and
+    volumes both come from it."""
+    schema = "host string, wrapper string, page bigint, slots array<struct<path:string,length:bigint,mark:bigint>>"
     kind = pa.list_(pa.struct([("path", pa.string()), ("length", pa.int64()), ("mark", pa.int64())]))
 
     def observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, seen = [], []
+            made, whole, seen = [], [], []
             for html in batch.column(1).to_pylist():
                 stream, blocks = parse(html)
                 sums: dict[str, list] = {}
@@ -380,8 +404,10 @@ def _observed(pages: DataFrame) -> DataFrame:
                 made.append(json.dumps(fold(stream)))
                 seen.append([{"path": path, "length": length, "mark": mark.intdigest() - (1 << 63)}
                              for path, (length, mark) in sums.items()])
+                whole.append(xxhash.xxh3_64_intdigest(json.dumps([(s["path"], s["mark"]) for s in seen[-1]])) - (1 << 63))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.string()), pa.array(seen, kind)], names=["host", "wrapper", "slots"])
+                [batch.column(0), pa.array(made, pa.string()), pa.array(whole, pa.int64()), pa.array(seen, kind)],
+                names=["host", "wrapper", "page", "slots"])
 
     return scratch_table(_hosted(pages).select("host", "html").mapInArrow(observe, schema), "streams")
 
@@ -411,9 +437,10 @@ def _wrappers(observed: DataFrame) -> DataFrame:
 
 
 def _volumes(observed: DataFrame) -> DataFrame:
-    """``host, path, volume``: text of a slot beside links, 0 where all pages have the same."""
-    rows = observed.select("host", F.explode("slots").alias("slot")).select("host", "slot.*")
-    constant = (F.count(F.lit(1)) > 1) & (F.min("mark") == F.max("mark"))
+    """``host, path, volume``: text of a slot beside links, 0 where different pages all have the same."""
+    rows = observed.where("host <> ''").select("host", "page", F.explode("slots").alias("slot")).select(
+        "host", "page", "slot.*")
+    constant = (F.min("page") != F.max("page")) & (F.min("mark") == F.max("mark"))
     return rows.groupBy("host", "path").agg(
         F.when(constant, F.lit(0)).otherwise(F.sum("length")).cast("bigint").alias("volume"))
 
@@ -424,29 +451,36 @@ def extract(pages: DataFrame) -> DataFrame:
     hosts = _wrappers(observed)
     volumes = _volumes(observed).groupBy("host").agg(F.collect_list(F.struct("path", "volume")).alias("volumes"))
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chosen = [content_slots(slots(json.loads(wrapper)), {v["path"]: v["volume"] for v in volume or ()})
-                      for wrapper, volume in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(chosen, pa.list_(pa.string()))], names=["host", "content"])
+            rules = []
+            for wrapper, volume in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                known = {v["path"]: v["volume"] for v in volume or ()}
+                rules.append(json.dumps({path: known.get(path, 0) for path in slots(json.loads(wrapper)) if not _excluded(path)}))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rules, pa.string())], names=["host", "rule"])
 
     rules = scratch_table(hosts.join(volumes, "host", "left").select("host", "wrapper", "volumes").mapInArrow(
-        choose, "host string, content array<string>"), "wrappers")
+        judge, "host string, rule string"), "wrappers")
     schema = T.StructType([
         T.StructField("page_id", pages.schema["page_id"].dataType), T.StructField("url", T.StringType()),
         T.StructField("text", T.StringType()), T.StructField("n_blocks", T.LongType())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = lru_cache(64)(lambda rule: json.loads(rule or "{}"))
         for batch in batches:
             texts, counts = [], []
-            for html, content in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                wanted = set(content or ())
-                kept = [block.text for block in parse(html)[1] if block.path in wanted]
+            for html, rule in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                volume, blocks = read(rule), parse(html)[1]
+                lengths: dict[str, int] = {}
+                for block in blocks:
+                    if block.path in volume:
+                        lengths[block.path] = lengths.get(block.path, 0) + len(block.text) - block.linked
+                wanted = set(content_slots(list(lengths), volume, lengths))
+                kept = [block.text for block in blocks if block.path in wanted]
                 texts.append("\n".join(kept))
                 counts.append(len(kept))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(counts, pa.int64())],
                 names=["page_id", "url", "text", "n_blocks"])
 
-    return _hosted(pages).join(rules, "host", "left").select("page_id", "url", "html", "content").mapInArrow(apply, schema)
+    return _hosted(pages).join(rules, "host", "left").select("page_id", "url", "html", "rule").mapInArrow(apply, schema)

@@ -231,3 +231,48 @@ def test_html(spark):
     wrapper = next(r.wrapper for r in html.wrappers(table).collect() if r.host == "a.org")
     assert '["+"' in wrapper
     assert brute.count(html.extract(table.limit(0))) == 0
+
+
+def test_html_of_hosts_that_mix_templates(spark):
+    marked = "<html><body><nav><p>menu</p></nav><article><p>marked {0} {1}</p></article></body></html>"
+    plain = "<html><body><div class='top'><p>welcome</p></div><div class='x'><p>plain {0} {1}</p></div></body></html>"
+    table = "<html><body><div class='top'><p>welcome</p></div><table><tr><td>cell {0}</td></tr></table></body></html>"
+    nested = "<html><body><div class='a'><p>{1}</p></div><div class='b'><div class='c'><p>deep</p></div></div></body></html>"
+    long = "many words that make up the text of this page " * 3
+    pages, want = [], {}
+
+    def add(url, html, text, *values):
+        want[len(pages)] = text.format(*values).strip()
+        pages.append((len(pages), url, html.format(*values)))
+
+    for i in range(4):
+        add("http://mixed.org/", marked, "marked {0} {1}", i, long)
+        add("http://mixed.org/", plain, "plain {0} {1}", i, long)
+        add("http://plain.org/", plain, "plain {0} {1}", i, long)
+        add("http://plain.org/", table, "cell {0}", i, long)
+        add("http://copies.org/", nested, "{1}", 0, long)
+        add(None, plain, "plain {0} {1}", i, long * 50)
+    add("no host", nested, "{1}", 0, long)
+    add("no host", marked, "marked {0} {1}", 0, long)
+    add("http://once.org/", nested, "{1}", 0, long)
+    got = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
+def test_every_slot_of_a_wrapper_stands_in_a_page():
+    from random import Random
+
+    draw = Random(5)
+
+    def body(depth):
+        return "".join(
+            "text" if draw.random() < 0.4 or not depth else f"<{tag}>{body(depth - 1)}</{tag}>"
+            for tag in draw.choices(["div", "section", "ul", "blockquote"], k=draw.randint(1, 4)))
+
+    for _ in range(60):
+        whole, paths = None, set()
+        for _ in range(5):
+            stream, blocks = html.parse(f"<html><body>{body(3)}</body></html>")
+            paths |= {block.path for block in blocks}
+            whole = html.fold(stream) if whole is None else html.align(whole, html.fold(stream))
+        assert set(html.slots(whole)) == paths
