@@ -4,7 +4,8 @@ Patterns find emails, addresses, card and phone numbers; every value found is a
 Terms near an entity are then judged by information theory, as in C-sanitisation: the pointwise
 mutual information of a term and an entity, as a share of the information the entity itself
 carries. A term that reveals at least ``GENERALISE`` of it is replaced by its class, one that
-reveals ``REMOVE`` goes. Counts cover all documents.
+reveals ``REMOVE`` goes. Counts cover all documents, and all of them are counts of distinct texts:
+neither copies of a text nor repeats inside one change what is disclosed.
 
 All of it is column expressions. Spark's regular expressions give matches but not where they are;
 positions come from the lengths of the matches and of the gaps between them (``split`` by the same
@@ -27,7 +28,7 @@ from .common import scratch_table, sha256, whole
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalised", "removed")
 REACH = 80  # code points of a context on either side, within the line
-SUPPORT = 3  # different contexts that must show an entity and a term together
+SUPPORT = 3  # distinct texts that must show an entity and a term together
 GENERALISE, REMOVE = 0.6, 0.9
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -110,30 +111,40 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def _context_terms(found: DataFrame) -> DataFrame:
-    """Every term near an entity: where it is, and a hash of the context it was seen in."""
+    """Every term near an entity, and where it is."""
     sides = found.select("doc_id", "text_hash", F.explode("contexts").alias("c")).select(
-        "doc_id", "text_hash", "c.entity", F.xxhash64("c.left", "c.right").alias("context"),
+        "doc_id", "text_hash", "c.entity",
         F.explode(F.array(F.struct(F.col("c.left").alias("text"), F.col("c.left_at").alias("at")),
                           F.struct(F.col("c.right").alias("text"), F.col("c.right_at").alias("at")))).alias("side"))
-    return sides.select("doc_id", "text_hash", "entity", "context", F.col("side.at").alias("at"),
+    return sides.select("doc_id", "text_hash", "entity", F.col("side.at").alias("at"),
                         F.explode(_located(F.col("side.text"), _TERM)).alias("t")).select(
-        "doc_id", "text_hash", "entity", "context", F.lower("t.value").alias("term"),
+        "doc_id", "text_hash", "entity", F.lower("t.value").alias("term"),
         (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
 
 
-def disclosures(docs: DataFrame, near: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def _term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``term, n_term``: the number of distinct texts with a term. A copy counts as its share of them."""
+    copies = scratch_table(found.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "copies")
+    texts = docs.select(whole("text").alias("text")).select("text", F.xxhash64("text").alias("text_hash"))
+    return texts.join(copies, "text_hash", "left").select(
+        (1 / F.coalesce("n", F.lit(1))).alias("share"),
+        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term")).groupBy(
+        "term").agg(F.round(F.sum("share")).cast("bigint").alias("n_term"))
+
+
+def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = SUPPORT,
+                least: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosed`` for the pairs that reveal at least the share ``least``.
 
-    ``near`` holds terms seen near entities. Copies of a text show the same context and count
-    once; how common a term is in general is counted over all documents.
+    ``found`` holds the entities of every document, ``near`` terms seen near entities. All four
+    counts are of distinct texts.
     """
-    together = near.select("entity", "term", "context").distinct()
+    together = near.select("entity", "term", "text_hash").distinct()
     pairs = together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    entities = near.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    total = math.log(max(docs.count(), 2))
-    terms = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(whole("text")), F.lit(_TERM), F.lit(0)))).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_term"))
+    entities = found.select("text_hash", F.explode("contexts.entity").alias("entity")).distinct().groupBy(
+        "entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    total = math.log(max(found.select("text_hash").distinct().count(), 2))
+    terms = _term_counts(docs, found)
     mutual = F.log("n_both") + total - F.log("n_entity") - F.log("n_term")
     information = total - F.log("n_entity")
     share = F.when(information > 0, F.least(mutual / information, F.lit(1.0))).otherwise(0.0)
@@ -151,7 +162,7 @@ def find_spans(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     disclose them, as ``start, order, kind, end``, in order."""
     found = scratch_table(base_spans(docs), "pii")
     near = _context_terms(found.where(F.size("contexts") > 0))
-    revealing = near.join(disclosures(docs, near, support), ["entity", "term"]).groupBy(
+    revealing = near.join(disclosures(docs, found, near, support), ["entity", "term"]).groupBy(
         "doc_id", "text_hash", "start", "end").agg(F.max("disclosed").alias("disclosed"))
     kind = F.when(F.col("disclosed") >= REMOVE, 1).otherwise(0)
     added = revealing.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(

@@ -68,6 +68,21 @@ def test_pii_terms_that_disclose_an_entity(spark):
     assert "Zorbax" not in clean[0] and "<EMAIL>" in clean[0] and clean[100] == noise[0][1]
 
 
+def test_copies_and_repeats_change_no_disclosure(spark):
+    noise = [(100 + i, f"plain text number {i} wrote about the item") for i in range(60)]
+    told = [(i, f"note {i} the Zorbax agent wrote bob@corp.org about item {i}") for i in range(4)]
+    lone = [(10, "\n".join(f"the Quendor desk {i} wrote ann@corp.org" for i in range(9)))]
+
+    def spans(rows):
+        table = spark.createDataFrame(rows, "doc_id long, text string")
+        return {r.doc_id: r.spans for r in pii.digest(pii.find_spans(table)).collect()}
+
+    once = spans(noise + told + lone)
+    copied = spans(noise + told + lone + [(1000 + i, told[0][1]) for i in range(500)])
+    assert all(":11:17" in once[i] for i in range(4))
+    assert {i: copied[i] for i in once} == once and {copied[1000 + i] for i in range(500)} == {once[0]}
+
+
 def test_secrets(docs, empty):
     out = secrets.digest(secrets.find_secrets(docs))
     got = brute.collected(out, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
