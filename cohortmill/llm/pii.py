@@ -1,11 +1,17 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
 Patterns find emails, addresses, card and phone numbers; every value found is a protected entity.
-Terms near an entity are then judged by information theory, as in C-sanitisation: the pointwise
-mutual information of a term and an entity, as a share of the information the entity itself
-carries. A term that reveals at least ``GENERALISE`` of it is replaced by its class, one that
-reveals ``REMOVE`` goes. Counts cover all documents, and all of them are counts of distinct texts:
-neither copies of a text nor repeats inside one change what is disclosed.
+Terms of the texts that hold an entity are then judged by information theory, as in C-sanitisation:
+the pointwise mutual information of a term and an entity, as a share of the information the entity
+itself carries. A term that reveals at least ``GENERALISE`` of it is replaced by its class, one that
+reveals ``REMOVE`` goes, wherever it stands in a text with that entity. Counts cover all documents,
+and all of them are counts of distinct texts: neither copies of a text nor repeats inside one change
+what is disclosed. What stands inside an email is no term.
+
+An entity and a term must share ``SUPPORT`` texts. An entity in fewer texts is rare: counts cannot
+tell its terms from chance, as every word that only its texts hold would reveal all of it. Its terms
+are those that no other text holds and that stand within ``REACH`` of it in each of its texts, on
+whatever line; they go.
 
 All of it is column expressions. Spark's regular expressions give matches but not where they are;
 positions come from the lengths of the matches and of the gaps between them (``split`` by the same
@@ -19,6 +25,7 @@ doc_id and text are read, so other columns cannot clash. An empty table gives no
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +34,7 @@ from .common import scratch_table, sha256, whole
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalised", "removed")
-REACH = 80  # code points of a context on either side, within the line
+REACH = 80  # code points on either side of a rare entity, whatever the line
 SUPPORT = 3  # distinct texts that must show an entity and a term together
 GENERALISE, REMOVE = 0.6, 0.9
 
@@ -41,12 +48,13 @@ _PATTERNS = {
 # What a text must contain for a pattern to be worth trying.
 _HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_WORD = r"[\p{L}\p{N}_'-]"
 _TERM = r"\p{L}[\p{L}\p{N}_'-]{2,}+"
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
-def _located(text: Column, pattern: str) -> Column:
-    """All matches, leftmost first, as ``start, end, value``."""
+def _located(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
+    """All matches, or those with a value to ``keep``, leftmost first, as ``start, end, value``."""
     pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
                           F.split(text, pattern, -1).alias("gap"))
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("out"))
@@ -54,11 +62,10 @@ def _located(text: Column, pattern: str) -> Column:
     def step(acc: Column, piece: Column) -> Column:
         start = acc["at"] + F.length(piece["gap"])
         end = start + F.length(piece["hit"])
+        more = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), piece["hit"].alias("value"))))
+        out = F.when(keep(piece["hit"]), more).otherwise(acc["out"]) if keep else more
         # The last gap has no match behind it.
-        return F.when(piece["hit"].isNull(), acc).otherwise(F.struct(
-            end.alias("at"),
-            F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), piece["hit"].alias("value"))))
-            .alias("out")))
+        return F.when(piece["hit"].isNull(), acc).otherwise(F.struct(end.alias("at"), out.alias("out")))
 
     return F.aggregate(pieces, begin, step, lambda acc: acc["out"])
 
@@ -90,36 +97,36 @@ def _matches(text: Column, kind: str) -> Column:
         F.array().cast(_SPANS))
 
 
+def _terms(text: Column) -> Column:
+    """The different terms of a text, in lower case, beside those inside emails."""
+    plain = F.when(text.contains(_HINTS["email"]), F.regexp_replace(text, _PATTERNS["email"], " ")).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(_TERM), F.lit(0)), lambda t: F.lower(t)))
+
+
 def _around(text: Column, spans: Column) -> Column:
-    """Per span: the entity, and the rest of its line within reach, left and right."""
+    """Per span: the entity, and what stands within reach, left and right, but words that reach cuts."""
     def context(span: Column) -> Column:
         first = F.greatest(span["start"] - REACH, F.lit(0))
-        left = F.substring_index(F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int")), "\n", -1)
-        right = F.substring_index(F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH)), "\n", 1)
-        return F.struct(F.lower(span["value"]).alias("entity"), left.alias("left"), right.alias("right"),
-                        (span["start"] - F.length(left)).alias("left_at"), span["end"].alias("right_at"))
+        left = F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int"))
+        right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH))
+        return F.struct(
+            F.lower(span["value"]).alias("entity"),
+            F.when(first > 0, F.regexp_replace(left, f"^{_WORD}++", "")).otherwise(left).alias("left"),
+            F.when(span["end"] + REACH < F.length(text), F.regexp_replace(right, f"(?<!{_WORD}){_WORD}++$", "")).otherwise(
+                right).alias("right"))
 
     return F.transform(spans, context)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash``, one array of matches per kind, and the contexts of all of them."""
+    """``doc_id, text_hash``, one array of matches per kind, the contexts of all of them, and the terms
+    of a text that has any."""
     text = docs.select("doc_id", whole("text").alias("text"))
     found = text.select("*", *[_matches(F.col("text"), kind).alias(kind) for kind in KINDS])
+    held = F.size(F.concat(*KINDS)) > 0
     return found.select("doc_id", F.xxhash64("text").alias("text_hash"), *KINDS,
-                        _around(F.col("text"), F.concat(*KINDS)).alias("contexts"))
-
-
-def _context_terms(found: DataFrame) -> DataFrame:
-    """Every term near an entity, and where it is."""
-    sides = found.select("doc_id", "text_hash", F.explode("contexts").alias("c")).select(
-        "doc_id", "text_hash", "c.entity",
-        F.explode(F.array(F.struct(F.col("c.left").alias("text"), F.col("c.left_at").alias("at")),
-                          F.struct(F.col("c.right").alias("text"), F.col("c.right_at").alias("at")))).alias("side"))
-    return sides.select("doc_id", "text_hash", "entity", F.col("side.at").alias("at"),
-                        F.explode(_located(F.col("side.text"), _TERM)).alias("t")).select(
-        "doc_id", "text_hash", "entity", F.lower("t.value").alias("term"),
-        (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
+                        _around(F.col("text"), F.concat(*KINDS)).alias("contexts"),
+                        F.when(held, _terms(F.col("text"))).alias("terms"))
 
 
 def _term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -127,29 +134,60 @@ def _term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
     copies = scratch_table(found.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "copies")
     texts = docs.select(whole("text").alias("text")).select("text", F.xxhash64("text").alias("text_hash"))
     return texts.join(copies, "text_hash", "left").select(
-        (1 / F.coalesce("n", F.lit(1))).alias("share"),
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term")).groupBy(
+        (1 / F.coalesce("n", F.lit(1))).alias("share"), F.explode(_terms(F.col("text"))).alias("term")).groupBy(
         "term").agg(F.round(F.sum("share")).cast("bigint").alias("n_term"))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = SUPPORT,
+def disclosures(docs: DataFrame, found: DataFrame, holders: DataFrame, support: int = SUPPORT,
                 least: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosed`` for the pairs that reveal at least the share ``least``.
 
-    ``found`` holds the entities of every document, ``near`` terms seen near entities. All four
-    counts are of distinct texts.
+    ``found`` holds the contexts and terms of every document, ``holders`` the distinct ``text_hash,
+    entity, n_entity``. All four counts are of distinct texts.
     """
-    together = near.select("entity", "term", "text_hash").distinct()
-    pairs = together.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    entities = found.select("text_hash", F.explode("contexts.entity").alias("entity")).distinct().groupBy(
-        "entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    total = math.log(max(found.select("text_hash").distinct().count(), 2))
-    terms = _term_counts(docs, found)
+    number = max(found.select("text_hash").distinct().count(), 2)
+    total = math.log(number)
+    most = holders.agg(F.max("n_entity")).first()[0] or 1
+    # A term in more texts reveals too little of any entity.
+    limit = max(number ** (1 - least) * most ** least, support) + 0.5
+    terms = scratch_table(_term_counts(docs, found).where(F.col("n_term") <= limit), "terms")
+
+    common = holders.where(F.col("n_entity") >= support)
+    texts = found.join(common.select("text_hash").distinct(), "text_hash", "left_semi").select(
+        "text_hash", F.explode("terms").alias("term")).distinct().join(terms.where(F.col("n_term") >= support), "term")
+    pairs = common.join(texts, "text_hash").groupBy("entity", "n_entity", "term", "n_term").agg(
+        F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
     mutual = F.log("n_both") + total - F.log("n_entity") - F.log("n_term")
     information = total - F.log("n_entity")
     share = F.when(information > 0, F.least(mutual / information, F.lit(1.0))).otherwise(0.0)
-    return pairs.join(entities, "entity").join(terms, "term").select(
-        "entity", "term", share.alias("disclosed")).where(F.col("disclosed") >= least)
+    judged = pairs.select("entity", "term", share.alias("disclosed")).where(F.col("disclosed") >= least)
+
+    near = found.where(F.size("contexts") > 0).select("text_hash", F.explode("contexts").alias("c")).select(
+        "text_hash", "c.entity", F.explode(F.array_union(_terms(F.col("c.left")), _terms(F.col("c.right")))).alias("term"))
+    rare = holders.where(F.col("n_entity") < support)
+    alone = near.distinct().join(rare, ["text_hash", "entity"]).groupBy("entity", "n_entity", "term").agg(
+        F.count(F.lit(1)).alias("n_both")).join(terms, "term").where("n_both = n_entity and n_term = n_entity")
+    return judged.unionByName(alone.select("entity", "term", F.lit(1.0).alias("disclosed")))
+
+
+def _revealing(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
+    """``text_hash, added``: where terms stand that disclose an entity of the same text."""
+    entities = found.where(F.size("contexts") > 0).select("text_hash", F.explode("contexts.entity").alias("entity")).distinct()
+    holders = scratch_table(entities.join(
+        entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity"), "entities")
+    told = holders.join(disclosures(docs, found, holders, support), "entity").groupBy("text_hash", "term").agg(
+        F.max("disclosed").alias("disclosed")).groupBy("text_hash").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "disclosed"))).alias("told"))
+    texts = docs.select(whole("text").alias("text")).select("text", F.xxhash64("text").alias("text_hash"))
+    hits = _located(F.col("text"), _TERM, lambda hit: F.map_contains_key("told", F.lower(hit)))
+
+    def named(hit: Column) -> Column:
+        kind = F.when(F.element_at("told", F.lower(hit["value"])) >= REMOVE, 1).otherwise(0)
+        return F.struct(hit["start"].alias("start"), (F.lit(len(KINDS)) + kind).alias("order"),
+                        F.get(F.array(*map(F.lit, ADDED)), kind).alias("kind"), hit["end"].alias("end"))
+
+    return texts.join(scratch_table(told, "disclosing"), "text_hash").dropDuplicates(["text_hash"]).select(
+        "text_hash", F.transform(hits, named).alias("added"))
 
 
 def _named(order: int, name: str) -> Column:
@@ -161,18 +199,14 @@ def find_spans(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """``doc_id, text_hash``, the matches per kind, and ``spans``: all of them and the terms that
     disclose them, as ``start, order, kind, end``, in order."""
     found = scratch_table(base_spans(docs), "pii")
-    near = _context_terms(found.where(F.size("contexts") > 0))
-    revealing = near.join(disclosures(docs, found, near, support), ["entity", "term"]).groupBy(
-        "doc_id", "text_hash", "start", "end").agg(F.max("disclosed").alias("disclosed"))
-    kind = F.when(F.col("disclosed") >= REMOVE, 1).otherwise(0)
-    added = revealing.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-        "start", (F.lit(len(KINDS)) + kind).alias("order"),
-        F.get(F.array(*map(F.lit, ADDED)), kind).alias("kind"), "end")).alias("added"))
     own = F.concat(*[_named(order, name) for order, name in enumerate(KINDS)])
-    match = F.col("f.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("f.text_hash") == F.col("a.text_hash"))
-    return found.alias("f").join(added.alias("a"), match, "left").select(
-        "f.doc_id", "f.text_hash", *[f"f.{k}" for k in KINDS], F.array_sort(own).alias("base"),
-        F.array_sort(F.concat(own, F.coalesce("added", F.array()))).alias("spans"))
+    # A term that overlaps an entity goes with it.
+    outside = F.filter("added", lambda a: ~F.exists(own, lambda s: (s["start"] < a["end"]) & (a["start"] < s["end"])))
+    # Written first: a small table is broadcast, so a group of copies is not one task.
+    revealing = scratch_table(_revealing(docs, found, support), "revealing")
+    return found.join(revealing, "text_hash", "left").select(
+        "doc_id", "text_hash", *KINDS, F.array_sort(own).alias("base"),
+        F.array_sort(F.concat(own, F.coalesce(outside, F.array()))).alias("spans"))
 
 
 def joined(spans: Column) -> Column:

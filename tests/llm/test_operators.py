@@ -83,6 +83,22 @@ def test_copies_and_repeats_change_no_disclosure(spark):
     assert {i: copied[i] for i in once} == once and {copied[1000 + i] for i in range(500)} == {once[0]}
 
 
+def test_pii_terms_on_other_lines_and_of_rare_entities(spark):
+    far = "words " * 40
+    texts = [f"plain text number {i} wrote and signed about the item words agent" for i in range(60)]
+    texts += [f"Zorbax leads\n{far}\nagent bob@corp.org\n{far}\nsigned, zorbax"]
+    texts += [f"{far}{i}\nwrote bob@corp.org {far}\nsigned, Zorbax" for i in range(3)]
+    texts += [f"Quendor Ltd.\nann@corp.org\n{far} Farrow", "plain Vexley text about\n+1 415 555 0199 \nitem",
+              "text about item +1 415 555 0199 Vexley"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = {i: [texts[i][int(a):int(b)] for kind, a, b in (x.split(":") for x in spans.split(",") if x) if kind in pii.ADDED]
+              for i, spans in brute.collected(pii.digest(pii.find_spans(table)), "doc_id", "spans")}
+    assert marked[60] == ["Zorbax", "zorbax"]
+    assert all(marked[i] == ["Zorbax"] for i in (61, 62, 63))
+    assert marked[64] == ["Quendor", "Ltd"] and marked[65] == marked[66] == ["Vexley"]
+    assert not any(marked[i] for i in range(60))
+
+
 def test_secrets(docs, empty):
     out = secrets.digest(secrets.find_secrets(docs))
     got = brute.collected(out, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
