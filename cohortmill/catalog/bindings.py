@@ -174,8 +174,8 @@ class Bound:
 
     @cached_property
     def grouped(self) -> DataFrame:
-        """Ordinary users in six far-apart groups by key, with a little spread inside each: the
-        groups any fit must find, numbered by the recency of their centres."""
+        """Ordinary users in six far-apart groups by key, all members alike: the groups any fit
+        must find, numbered by the recency of their centres. Real profiles: ``cluster_profiles``."""
         return self.general.selectExpr(
             "user_id", "cast(10 * (user_id % 6) as int) as friend_cnt",
             "cast(40 * (user_id % 6) + user_id % 3 as bigint) as recency",

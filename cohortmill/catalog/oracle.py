@@ -357,6 +357,8 @@ FROM features AS f JOIN labels AS l ON l.user_id = f.user_id"""),
   CAST(100 * (user_id % 6) AS DOUBLE) AS monetary,
   CAST(CASE WHEN user_id % 6 = 3 THEN 50 ELSE 0 END AS INT) AS block_cnt, CAST(user_id % 6 AS TINYINT) AS cluster
 FROM profile WHERE user_type = 'General'"""),
+        "cluster_profiles": _with(
+            *people, select="SELECT user_id, TRUE AS labelled FROM profile WHERE user_type = 'General'"),
         "week_frame": f"""WITH span AS (SELECT CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS z FROM events),
 mondays AS (
   SELECT d, row_number() OVER (ORDER BY d) AS n

@@ -144,6 +144,14 @@ def cluster_users(t):
     return conform(labelled, CLUSTERS)
 
 
+@query
+def cluster_profiles(t):
+    """A model fitted to the real profile. Its labels are no function of the data that SQL can state;
+    that every ordinary user has one of them is."""
+    labelled, model = clusters.cluster_users(t.general, b.CONFIG)
+    return labelled.select("user_id", F.col("cluster").between(0, (model.k if model else 1) - 1).alias("labelled"))
+
+
 # ---- time series -----------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ import pytest
 
 from cohortmill import catalog
 from cohortmill.catalog.bindings import CONFIG, Bound
+from cohortmill.operators import clusters
 from cohortmill.operators.clusters import cluster_users
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -55,3 +56,11 @@ def test_fitted_clusters_cover_every_ordinary_user(spark, tables):
     ids = [r.user_id for r in labelled]
     people = {r[0] for r in tables.execute(ORACLE["general_users"]).fetchall()}
     assert len(ids) == len(set(ids)) and set(ids) == people
+
+
+def test_the_fit_of_real_profiles_has_many_combinations(spark, monkeypatch):
+    seen = []
+    fit = clusters.fit_clusters
+    monkeypatch.setattr(clusters, "fit_clusters", lambda general, *rest: seen.append(general) or fit(general, *rest))
+    assert catalog.QUERIES["cluster_profiles"](spark, FOLDER).count() > 0
+    assert clusters.combinations(seen[0]).count() > CONFIG.k
