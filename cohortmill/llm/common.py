@@ -50,6 +50,24 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_lookup(rows: DataFrame, table: DataFrame, key: str, how: str, parts: int = 1000) -> DataFrame:
+    """``rows`` joined (``inner`` or ``left``) with a ``table`` that holds every key once.
+
+    A key with at least one of ``parts`` parts of all rows would be one heavy task. There are at most
+    ``parts`` such keys, whatever the input, so their rows of the table are broadcast; all other keys
+    meet by shuffle. Rows without a key find nothing. ``rows`` is read three times.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    least = F.lit(rows.count() / parts)
+    hot = scratch_table(counts.where(F.col(key).isNotNull() & (F.col("n_rows") >= least)).select(key).coalesce(1), "hot")
+    heavy = rows.join(F.broadcast(hot), key, "left_semi").join(
+        F.broadcast(table.join(F.broadcast(hot), key, "left_semi")), key, how)
+    light = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti").join(
+        table.join(F.broadcast(hot), key, "left_anti").hint("shuffle_hash"), key, how)
+    out = heavy.unionByName(light)
+    return out if how == "inner" else out.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables; results that still read them must be written first."""
     files, location = hadoop_path(spark, f"{shared_dir(spark)}/cohortmill/llm")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, html, linededup, ngrams, pii, quality, secrets, sharding
+from . import bpe, chat, decontam, fim, html, linededup, ngrams, pii, quality, secrets, sharding, spelling, warc
 from .common import sha256, table
 
 SHARDS = 40
@@ -61,10 +61,26 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.col("group_id").alias("class_id"), "n_links", F.col("class_id").alias("copy_id"), "n_copies")
 
 
+def op11_fim(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fim.transform(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "row.doc_id", "n", "form", "prefix_chars", "middle_chars", sha256(F.col("output")).alias("output_sha256"),
+        sha256(fim.restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii, op2_bpe, op3_chat, op4_quality, op5_line_dedup, op6_secrets, op7_html, op8_decontamination,
-        op9_sharding, op10_ngram_join)}
+        op9_sharding, op10_ngram_join, op11_fim, op12_warc, op13_spelling)}
 
 _BLANKS = r"chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 
@@ -139,7 +155,50 @@ from marked group by doc_id
 """
 
 
+_FIM = r"""
+with drawn as (
+  select doc_id, coalesce(text, '') as text, sha256('42:' || doc_id) as h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as t
+  from documents
+), numbered as (
+  select *, len(t)::bigint as n, ('0x' || h[1:8])::bigint % (len(t) + 1) as c1, ('0x' || h[9:16])::bigint % (len(t) + 1) as c2,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                   or ('0x' || h[17:24])::bigint % 100 >= 50 then 'plain'
+              when ('0x' || h[25:32])::bigint % 100 < 80 then 'spm' else 'psm' end as form
+  from drawn
+), parts as (
+  select *, array_to_string(t[1:least(c1, c2)], '') as p, array_to_string(t[least(c1, c2) + 1:greatest(c1, c2)], '') as m,
+         array_to_string(t[greatest(c1, c2) + 1:], '') as s
+  from numbered
+)
+select doc_id, n, form, case when form <> 'plain' then length(p) end::bigint as prefix_chars,
+       case when form <> 'plain' then length(m) end::bigint as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
+# Five hexadecimal digits are four of base 32.
+_WARC = """
+with measured as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages
+), digests as (
+  select page_id, payload_bytes, array_to_string(list_transform(range(0, 8), lambda i:
+    array_to_string(list_transform([15, 10, 5, 0], lambda b:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * i::int, 5))::int >> b) & 31), 1)), '')), '')
+    as payload_digest
+  from measured
+)
+select page_id, payload_bytes, payload_digest,
+       case when page_id = max(page_id) over same then 'response' else 'revisit' end as record_type,
+       case when page_id <> max(page_id) over same then max(page_id) over same end as refers_to
+from digests window same as (partition by payload_digest, payload_bytes)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Without SQL: what positions of matches, hash draws, vocabularies, wrappers or sketches decide.
     Those are tested against brute force."""
-    return {"op3_chat": _CHAT, "op4_quality": _QUALITY, "op5_line_dedup": _LINE_DEDUP}
+    return {"op3_chat": _CHAT, "op4_quality": _QUALITY, "op5_line_dedup": _LINE_DEDUP, "op11_fim": _FIM,
+            "op12_warc": _WARC}

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -147,3 +148,56 @@ def similar(table, least=0.8):
 
 def count(df):
     return df.agg(F.count(F.lit(1))).first()[0]
+
+
+def spelled(table, min_chars=7, min_count=2, ratio=10, noise=31):
+    """(word, form, root, n, n_near, form_n), neighbours found among all one-edit texts of a word."""
+    n = Counter()
+    for doc_id, text in table:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{low}".encode())
+            if noise and h % noise == 0:
+                low = low[:h % len(low)] + low[h % len(low) + 1:]
+            if len(low) >= min_chars:
+                n[low] += 1
+    n = {w: c for w, c in n.items() if c >= min_count}
+    # Words one edit apart share the text that is left when one letter is taken from the longer, or from both.
+    holders, near = defaultdict(set), defaultdict(set)
+    for w in n:
+        for i in range(len(w)):
+            holders[i, w[:i] + w[i + 1:]].add(w)
+            shorter = w[:i] + w[i + 1:]
+            if shorter in n:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    for same in holders.values():
+        for w in same:
+            near[w] |= same - {w}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= ratio * n[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return [(w, form[w], root(w), n[w], len(near[w]), n[form[w]] if form[w] else None) for w in n]
+
+
+def filled(doc_id, text, seed=42, rate=50, spm=80, unit="token"):
+    """(n, form, prefix_chars, middle_chars, output)"""
+    text = text or ""
+    pattern = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+" if unit == "token" else r"(?s)."
+    units = re.findall(pattern, text)
+    hexed = sha(f"{seed}:{'' if doc_id is None else doc_id}")
+    h1, h2, h3, h4 = (int(hexed[i:i + 8], 16) for i in (0, 8, 16, 24))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return len(units), "plain", None, None, text
+    a, b = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h4 % 100 < spm:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
