@@ -11,9 +11,11 @@ matches exactly. States at the end of their word, in a node that ends another on
 
 Edges are compressed: a node is a prefix with two continuations, the end of a word, or the middle of
 one, so the number of levels is that of branchings on a path and not the length of the longest word.
-Nodes are known by a hash of their prefix. Which prefixes are nodes is kept in a Bloom filter of fixed
-size, so edges are cut in one pass over the words without a join; a false alarm makes a node more for
-all words alike. Neighbours are compared as texts in the end, so that colliding hashes add none.
+Nodes are known by a polynomial hash of their prefix. Which prefixes are nodes is kept in a Bloom filter
+of fixed size, so edges are cut in one pass over the words without a join; a false alarm makes a node
+more for all words alike. The filter also thins the frontier: the word that a state with its edit spent
+can still reach is known, its hash follows from those of the node and of the rest, and a state whose
+word is no node is dropped. Neighbours are compared as texts in the end, so colliding hashes add none.
 
 A node has as many edges as the alphabet has letters at most; states of a node with a large share of
 the frontier meet its edges by a bounded broadcast (``common.with_lookup``). Each level is written to
@@ -26,7 +28,7 @@ is smallest in code-point order is the form. Runs of any length are whole words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +75,15 @@ def vocabulary(found: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
 def _prefixes(word: str, side: int) -> tuple[str, int, list[int]]:
     """The word as the trie reads it, its middle, and a hash for each of its prefixes, by length."""
     text = word[::-1] if side else word
-    value, out = _SIDES[side], [_SIDES[side]]
+    return text, (len(word) - len(word) // 2 if side else len(word) // 2), _hashes(text, _SIDES[side])
+
+
+def _hashes(text: str, value: int) -> list[int]:
+    out = [value]
     for letter in text:
-        value = (value ^ ord(letter)) * _STEP & _MASK
-        value ^= value >> 29
+        value = (value * _STEP + ord(letter)) & _MASK
         out.append(value)
-    return text, (len(word) - len(word) // 2 if side else len(word) // 2), out
+    return out
 
 
 def _signed(values: list[int]) -> pa.Array:
@@ -166,23 +171,48 @@ def moves(text: str, at: int, edits: int, label: str) -> list[tuple[int, int]]:
     return out
 
 
-def _advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One level. ``near`` is the word a finished state has found."""
-    for batch in batches:
-        rows = []
-        texts, places, spent, sides, lists = (batch.column(i).to_pylist() for i in range(5))
-        for text, at, edits, side, edges in zip(texts, places, spent, sides, lists, strict=True):
-            for edge in edges:
-                for there, now in moves(text, at, edits, edge["label"]):
-                    ends, left = edge["word"], len(text) - there
-                    if not now and left == 1 and ends is not None:  # the last letter less
-                        rows.append((0, text, len(text), 1, side, ends, edge["n"]))
+def _hopeful(edge: str = "edge.label") -> Column:
+    """Whether an edge can lead a state on. If it begins with the letter at hand only a look at all of
+    its letters tells; else what stands behind an edit there must match."""
+    label, spent = F.col(edge), F.col("edits") == 1
+    tail, onward = F.substring(label, F.lit(2), F.length(label)), F.substring("rest", F.lit(2), F.length("rest"))
+    behind = F.startswith("rest", tail) | ((F.col("rest") != "") & (F.startswith(onward, tail) | F.startswith(onward, label)))
+    same = F.substring(label, 1, 1) == F.substring("rest", 1, 1)
+    return F.when(spent, F.startswith("rest", label)).otherwise(same | behind)
+
+
+def _advance(is_node) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One level: from a state and an edge to the states behind it. ``near`` is the word a finished
+    state has found."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, spent, goals, last = [], [], [], None
+            for text, at, edits, side, label, child, ends, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                size, fresh = len(text), not edits
+                for there, now in moves(text, at, edits, label):
+                    left = size - there
+                    if ends is not None and now and not left:
+                        rows.append((0, text, there, 1, side, ends, n))
+                        continue
+                    if ends is not None and not now and left == 1:  # the last letter less
+                        rows.append((0, text, size, 1, side, ends, n))
                     if now and not left:
-                        if ends is not None:
-                            rows.append((0, text, there, 1, side, ends, edge["n"]))
-                    else:
-                        rows.append((edge["child"], text, there, now, side, None, None))
-        yield _states(*(zip(*rows, strict=True) if rows else [()] * 7))
+                        continue
+                    if now and fresh:
+                        if text != last:
+                            last, powers = text, [1]
+                            own = _hashes(text, 0)
+                            for _ in range(size):
+                                powers.append(powers[-1] * _STEP & _MASK)
+                        spent.append(len(rows))
+                        goals.append((((child & _MASK) - own[there]) * powers[left] + own[size]) & _MASK)
+                    rows.append((child, text, there, now, side, None, None))
+            kept = np.ones(len(rows), dtype=bool)
+            kept[spent] = is_node.holds(np.array(goals, dtype=np.uint64))
+            rows = [rows[i] for i in np.flatnonzero(kept).tolist()]
+            yield _states(*(zip(*rows, strict=True) if rows else [()] * 7))
+
+    return run
 
 
 def neighbours(known: DataFrame) -> DataFrame:
@@ -193,13 +223,15 @@ def neighbours(known: DataFrame) -> DataFrame:
     is_node = twice_seen(_nodes(known), node_hashes, times=1)
     edges = scratch_table(_edges(known, is_node), "trie")
     level = scratch_table(known.select("word").mapInArrow(_starts, _STATE), "frontier")
-    found = None
+    found, advance = None, _advance(is_node)
     while True:
         frontier = level.where("near is null")
         if frontier.isEmpty():
             break
-        met = with_lookup(frontier, edges, "node", "inner").select("text", "position", "edits", "side", "edges")
-        level = scratch_table(met.mapInArrow(_advance, _STATE), "frontier")
+        met = with_lookup(frontier, edges, "node", "inner").select(
+            "text", "position", "edits", "side", F.substring("text", F.col("position") + 1, F.length("text")).alias("rest"),
+            F.explode("edges").alias("edge")).where(_hopeful())
+        level = scratch_table(met.select("text", "position", "edits", "side", "edge.*").mapInArrow(advance, _STATE), "frontier")
         done = level.where("near is not null").select(
             F.when(F.col("side") == 1, F.reverse("text")).otherwise(F.col("text")).alias("word"), "near", "near_n")
         found = done if found is None else found.unionByName(done)
