@@ -17,9 +17,11 @@ more for all words alike. The filter also thins the frontier: the word that a st
 can still reach is known, its hash follows from those of the node and of the rest, and a state whose
 word is no node is dropped. Neighbours are compared as texts in the end, so colliding hashes add none.
 
-A node has as many edges as the alphabet has letters at most; states of a node with a large share of
-the frontier meet its edges by a bounded broadcast (``common.with_lookup``). Each level is written to
-the shared folder.
+Hashes of all prefixes of a batch of words come from one running sum, since the factor has an inverse;
+a state sees by them whether it can follow an edge exactly, and letters are compared by Spark.
+
+A node has as many edges as the alphabet has letters at most, in one row; adaptive execution splits a
+node with very many states. Each level is written to the shared folder.
 
 Defined results: a null text has no word; a null key draws as the empty key; repeated rows count each;
 no other column is read, so none can clash. An empty table gives no row. Of equal counts the word that
@@ -35,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import twice_seen
-from .common import scratch_table, whole, with_lookup
+from .bloom import Seen, twice_seen
+from .common import scratch_table, whole
 
 MIN_CHARS, MIN_COUNT = 7, 2
 RATIO = 10  # a form is so many times as frequent
@@ -44,8 +46,9 @@ NOISE = 31  # one run in so many loses a letter; None: none does
 _LETTER = "[A-Za-z\\u00C0-\\u00FF]"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-_MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
-_SIDES = (0x243F6A8885A308D3, 0x13198A2E03707344)  # where the hashes of the two tries begin
+_STEP = 0x9E3779B97F4A7C15  # any odd number: it has an inverse modulo 2^64
+_SIDES = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], dtype=np.uint64)  # where the hashes of the two tries begin
+PIECE = 1 << 20  # letters looked at together
 
 
 def words(docs: DataFrame, key: str = "doc_id", min_chars: int = MIN_CHARS, noise: int | None = NOISE) -> DataFrame:
@@ -72,35 +75,79 @@ def vocabulary(found: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
 # ---- the tries ------------------------------------------------------------------------
 
 
-def _prefixes(word: str, side: int) -> tuple[str, int, list[int]]:
-    """The word as the trie reads it, its middle, and a hash for each of its prefixes, by length."""
-    text = word[::-1] if side else word
-    return text, (len(word) - len(word) // 2 if side else len(word) // 2), _hashes(text, _SIDES[side])
+def _powers(factor: int, n: int) -> np.ndarray:
+    factors = np.full(n + 1, factor, dtype=np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+class Prefixes:
+    """Hashes of all prefixes of some texts, as unsigned 64-bit numbers."""
+
+    def __init__(self, texts: list[str], side: int | np.ndarray):
+        self.joined = "".join(texts)
+        self.letters = np.frombuffer(self.joined.encode("utf-32-le"), np.uint32).astype(np.int64)
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        longest = int(self.sizes.max(initial=0)) + 1
+        self.powers = _powers(_STEP, longest)
+        place = np.arange(len(self.letters)) - np.repeat(self.starts, self.sizes)
+        weighed = self.letters.astype(np.uint64) * _powers(pow(_STEP, -1, 1 << 64), longest)[place + 1]
+        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighed, dtype=np.uint64)])
+        self._begin = np.broadcast_to(_SIDES[side], len(texts))
+
+    def of(self, text: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Hash of the first ``size`` letters of the text with some number."""
+        start = self.starts[text]
+        return self.powers[size] * (self._begin[text] + self._sums[start + size] - self._sums[start])
+
+    def goal(self, text: np.ndarray, size: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Hash of what a node stands for, with the letters of a text from ``size`` on behind it."""
+        left = self.powers[self.sizes[text] - size]
+        return (node - self.of(text, size)) * left + self.of(text, self.sizes[text])
 
+    def later_half(self, middles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text and size of every prefix from one letter before the middle on."""
+        counts = self.sizes - middles + 2
+        text = np.repeat(np.arange(len(counts)), counts)
+        first = np.cumsum(counts) - counts
+        return text, np.arange(len(text)) - first[text] + middles[text] - 1
 
-def _hashes(text: str, value: int) -> list[int]:
-    out = [value]
-    for letter in text:
-        value = (value * _STEP + ord(letter)) & _MASK
-        out.append(value)
-    return out
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices with a bounded number of letters in the first column, or one longer word."""
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        ends, start = np.cumsum([0, *map(len, texts)]), 0
+        while start < len(texts):
+            end = max(int(np.searchsorted(ends, ends[start] + PIECE, "right")) - 1, start + 1)
+            yield batch.slice(start, end - start), texts[start:end]
+            start = end
+
+
+def _sides(words: list[str]) -> Iterator[tuple[int, Prefixes, np.ndarray]]:
+    """The words as both tries read them, and their middles."""
+    for side in (0, 1):
+        prefixes = Prefixes([word[::-1] for word in words] if side else words, side)
+        half = prefixes.sizes // 2
+        yield side, prefixes, (prefixes.sizes - half if side else half)
 
-def _signed(values: list[int]) -> pa.Array:
-    return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, letter``: every prefix of the later half with the letter behind it; 0 where a word ends,
     -1 where one has its middle."""
-    for batch in batches:
-        nodes, letters = [], []
-        for word in batch.column(0).to_pylist():
-            for side in (0, 1):
-                text, middle, hashes = _prefixes(word, side)
-                nodes += [hashes[middle], *hashes[middle - 1:]]
-                letters += [-1, *map(ord, text[middle - 1:]), 0]
-        yield pa.RecordBatch.from_arrays([_signed(nodes), pa.array(letters, pa.int32())], names=["node", "letter"])
+    for _, words in _pieces(batches):
+        for _, prefixes, middles in _sides(words):
+            text, size = prefixes.later_half(middles)
+            letters = np.append(prefixes.letters, 0)[np.minimum(prefixes.starts[text] + size, len(prefixes.letters))]
+            letters[size == prefixes.sizes[text]] = 0
+            nodes = np.concatenate([prefixes.of(text, size), prefixes.of(np.arange(len(words)), middles)])
+            letters = np.concatenate([letters, np.full(len(words), -1)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([_signed(nodes), pa.array(letters)], names=["node", "letter"])
 
 
 _EDGE = "node long, label string, child long, word string, n long"
@@ -113,24 +160,24 @@ def _nodes(known: DataFrame) -> DataFrame:
     return letters.where("low < 1 or low <> high").select("node")
 
 
-def _edges(known: DataFrame, is_node) -> DataFrame:
+def _edges(known: DataFrame, is_node: Seen) -> DataFrame:
     """``node`` and ``edges``: what leads on from there, and the word that ends at the child, if any."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for side in (0, 1):
-                    text, middle, hashes = _prefixes(word, side)
-                    first = middle - 1
-                    held = np.flatnonzero(is_node.holds(np.array(hashes[first:], dtype=np.uint64))) + first
-                    for a, b in zip(held.tolist(), held[1:].tolist()):
-                        ends = b == len(text)
-                        rows.append((hashes[a], text[a:b], hashes[b], word if ends else None, n if ends else None))
-            node, label, child, ending, count = zip(*rows, strict=True) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [_signed(list(node)), pa.array(label, pa.string()), _signed(list(child)),
-                 pa.array(ending, pa.string()), pa.array(count, pa.int64())],
-                names=["node", "label", "child", "word", "n"])
+        for batch, words in _pieces(batches):
+            for _, prefixes, middles in _sides(words):
+                text, size = prefixes.later_half(middles)
+                hashes = prefixes.of(text, size)
+                held = np.flatnonzero(is_node.holds(hashes))
+                text, size, hashes = text[held], size[held], hashes[held]
+                a = np.flatnonzero(text[1:] == text[:-1])
+                b, begin = a + 1, prefixes.starts[text]
+                labels = [prefixes.joined[i:j] for i, j in zip(
+                    (begin + size)[a].tolist(), (begin + size)[b].tolist(), strict=True)]
+                ending = pa.array(text[b], mask=size[b] != prefixes.sizes[text[b]])
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(hashes[a]), pa.array(labels, pa.string()), _signed(hashes[b]),
+                     batch.column(0).take(ending), batch.column(1).take(ending)],
+                    names=["node", "label", "child", "word", "n"])
 
     once = known.select("word", "n").mapInArrow(cut, _EDGE).groupBy("node", "child").agg(
         F.max("label").alias("label"), F.max("word").alias("word"), F.max("n").alias("n"))
@@ -138,79 +185,63 @@ def _edges(known: DataFrame, is_node) -> DataFrame:
 
 
 def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(text, middle, side, hashes[middle]) for word in batch.column(0).to_pylist() for side in (0, 1)
-                for text, middle, hashes in [_prefixes(word, side)]]
-        text, middle, side, node = zip(*rows, strict=True) if rows else [()] * 4
-        yield _states(list(node), text, middle, [0] * len(rows), side, [None] * len(rows), [None] * len(rows))
+    for _, words in _pieces(batches):
+        for side, prefixes, middles in _sides(words):
+            texts = pa.array([word[::-1] for word in words] if side else words, pa.string())
+            n = len(words)
+            yield _states(prefixes.of(np.arange(n), middles), texts, middles, np.zeros(n), np.full(n, side),
+                          pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()))
 
 
-def _states(node, text, position, edits, side, near, near_n) -> pa.RecordBatch:
+def _states(node: np.ndarray, text: pa.Array, position: np.ndarray, edits: np.ndarray, side: np.ndarray,
+            near: pa.Array, near_n: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [_signed([n & _MASK for n in node]), pa.array(text, pa.string()), pa.array(position, pa.int32()),
-         pa.array(edits, pa.int32()), pa.array(side, pa.int32()), pa.array(near, pa.string()), pa.array(near_n, pa.int64())],
+        [_signed(node), text, *(pa.array(c.astype(np.int32)) for c in (position, edits, side)), near, near_n],
         names=[c.split()[0] for c in _STATE.split(", ")])
 
 
-def moves(text: str, at: int, edits: int, label: str) -> list[tuple[int, int]]:
-    """Position and edits of the states that an edge leads to."""
-    if text.startswith(label, at):
-        return [(at + len(label), edits)]
-    if edits:
-        return []
-    k, most = 0, min(len(label), len(text) - at)
-    while k < most and text[at + k] == label[k]:
-        k += 1
-    tail, out = label[k + 1:], []
-    if text.startswith(tail, at + k + 1):  # another letter
-        out.append((at + len(label), 1))
-    if text.startswith(tail, at + k):  # a letter more
-        out.append((at + len(label) - 1, 1))
-    if text.startswith(label[k:], at + k + 1):  # a letter less
-        out.append((at + len(label) + 1, 1))
-    return out
-
-
-def _hopeful(edge: str = "edge.label") -> Column:
+def _hopeful() -> Column:
     """Whether an edge can lead a state on. If it begins with the letter at hand only a look at all of
     its letters tells; else what stands behind an edit there must match."""
-    label, spent = F.col(edge), F.col("edits") == 1
+    label, spent = F.col("edge.label"), F.col("edits") == 1
     tail, onward = F.substring(label, F.lit(2), F.length(label)), F.substring("rest", F.lit(2), F.length("rest"))
     behind = F.startswith("rest", tail) | ((F.col("rest") != "") & (F.startswith(onward, tail) | F.startswith(onward, label)))
     same = F.substring(label, 1, 1) == F.substring("rest", 1, 1)
     return F.when(spent, F.startswith("rest", label)).otherwise(same | behind)
 
 
-def _advance(is_node) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One level: from a state and an edge to the states behind it. ``near`` is the word a finished
-    state has found."""
+def _advance(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One level: from a state and the length of an edge to the states behind it. ``near`` is the word
+    that a finished state has found."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, spent, goals, last = [], [], [], None
-            for text, at, edits, side, label, child, ends, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                size, fresh = len(text), not edits
-                for there, now in moves(text, at, edits, label):
-                    left = size - there
-                    if ends is not None and now and not left:
-                        rows.append((0, text, there, 1, side, ends, n))
-                        continue
-                    if ends is not None and not now and left == 1:  # the last letter less
-                        rows.append((0, text, size, 1, side, ends, n))
-                    if now and not left:
-                        continue
-                    if now and fresh:
-                        if text != last:
-                            last, powers = text, [1]
-                            own = _hashes(text, 0)
-                            for _ in range(size):
-                                powers.append(powers[-1] * _STEP & _MASK)
-                        spent.append(len(rows))
-                        goals.append((((child & _MASK) - own[there]) * powers[left] + own[size]) & _MASK)
-                    rows.append((child, text, there, now, side, None, None))
-            kept = np.ones(len(rows), dtype=bool)
-            kept[spent] = is_node.holds(np.array(goals, dtype=np.uint64))
-            rows = [rows[i] for i in np.flatnonzero(kept).tolist()]
-            yield _states(*(zip(*rows, strict=True) if rows else [()] * 7))
+        for batch, texts in _pieces(batches):
+            at, edits, side, width = (batch.column(i).to_numpy().astype(np.int64) for i in range(1, 5))
+            child = batch.column(5).to_numpy().view(np.uint64)
+            ends = batch.column(6).is_valid().to_numpy(zero_copy_only=False)
+            own = Prefixes(texts, side)
+            reach, row = at + width, np.arange(len(texts))
+            fits = reach <= own.sizes
+            exact = fits & ((edits == 1) | (own.of(row, np.where(fits, reach, 0)) == child))
+            on = np.flatnonzero(exact)
+            # The last letter less: the word ends one letter after another one does.
+            less = np.flatnonzero(exact & (edits == 0) & ends & (own.sizes - reach == 1))
+            off = np.flatnonzero(~exact & (edits == 0))
+            # Another letter, a letter more, a letter less.
+            tries = [(off, reach[off] + step) for step in (0, -1, 1)]
+            state = np.concatenate([on, less, *(rows for rows, _ in tries)])
+            there = np.concatenate([reach[on], own.sizes[less], *(place for _, place in tries)])
+            now = np.concatenate([edits[on], np.ones(len(state) - len(on), np.int64)])
+            new = np.arange(len(state)) >= len(on) + len(less)
+            inside = there <= own.sizes[state]
+            state, there, now, new = state[inside], there[inside], now[inside], new[inside]
+            over = (now == 1) & (there == own.sizes[state])
+            keep = np.where(over, ends[state], True)
+            doubt = np.flatnonzero(new & ~over)
+            keep[doubt] = is_node.holds(own.goal(state[doubt], there[doubt], child[state[doubt]]))
+            state, there, now, over = state[keep], there[keep], now[keep], over[keep]
+            found = pa.array(state, mask=~over)
+            yield _states(np.where(over, np.uint64(0), child[state]), batch.column(0).take(pa.array(state)), there, now,
+                          side[state], batch.column(6).take(found), batch.column(7).take(found))
 
     return run
 
@@ -228,10 +259,12 @@ def neighbours(known: DataFrame) -> DataFrame:
         frontier = level.where("near is null")
         if frontier.isEmpty():
             break
-        met = with_lookup(frontier, edges, "node", "inner").select(
+        met = frontier.join(edges.hint("shuffle_hash"), "node").select(
             "text", "position", "edits", "side", F.substring("text", F.col("position") + 1, F.length("text")).alias("rest"),
             F.explode("edges").alias("edge")).where(_hopeful())
-        level = scratch_table(met.select("text", "position", "edits", "side", "edge.*").mapInArrow(advance, _STATE), "frontier")
+        level = scratch_table(met.select(
+            "text", "position", "edits", "side", F.length("edge.label").alias("width"), "edge.child", "edge.word",
+            "edge.n").mapInArrow(advance, _STATE), "frontier")
         done = level.where("near is not null").select(
             F.when(F.col("side") == 1, F.reverse("text")).otherwise(F.col("text")).alias("word"), "near", "near_n")
         found = done if found is None else found.unionByName(done)
