@@ -1,16 +1,16 @@
 """Spelling variants: words one edit apart, found by walking a trie of the vocabulary.
 
 Words that occur often enough are put into two tries, one of the words and one of the reversed words.
-A state is (word, position, node, edits). The frontier starts with one state per word and trie, at the
-middle of the word: an edit lies in the later half of the word or of its reversal, so the first half
-can be matched exactly and the branches near the root are never tried. Level by level the frontier is
+A state is (word, position, node, edits). The frontier starts with one state per word and trie, at its
+first node behind the middle of the word: an edit lies in the later half of the word or of its reversal,
+so the first half can be matched exactly and the branches near the root are never tried. Level by level the frontier is
 joined with the edge table on the node. A state without an edit follows every edge that matches, and
 spends its edit at the first character that does not (replace, insert, delete); of all ways to align
 two words one edit apart one has its edit there. A state with its edit spent follows the edge that
 matches exactly. States at the end of their word, in a node that ends another one, are neighbours.
 
-Edges are compressed: a node is a prefix with two continuations, the end of a word, or the middle of
-one, so the number of levels is that of branchings on a path and not the length of the longest word.
+Edges are compressed: a node is a prefix with two continuations or the end of a word, so the number of
+levels is that of branchings on a path and not the length of the longest word.
 Nodes are known by a polynomial hash of their prefix. Which prefixes are nodes is kept in a Bloom filter
 of fixed size, so edges are cut in one pass over the words without a join; a false alarm makes a node
 more for all words alike. The filter also thins the frontier: the word that a state with its edit spent
@@ -53,18 +53,18 @@ PIECE = 1 << 20  # letters looked at together
 
 def words(docs: DataFrame, key: str = "doc_id", min_chars: int = MIN_CHARS, noise: int | None = NOISE) -> DataFrame:
     """``word`` for every run of letters that is long enough, after a letter was lost in some."""
-    pattern = f"{_LETTER}{{{min_chars},}}+"
-    runs = docs.select(
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
-        F.explode(F.regexp_extract_all(whole("text"), F.lit(pattern), F.lit(0))).alias("run"))
-    low = runs.select("key", F.translate("run", _UPPER, _UPPER.lower()).alias("run"))
-    if not noise:
-        return low.select(F.col("run").alias("word"))
-    hashed = low.select("run", F.crc32(F.concat_ws(":", "key", "run").cast("binary")).alias("h"))
-    at = F.pmod("h", F.length("run").cast("bigint")).cast("int")
-    less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
-    return hashed.select(F.when(F.col("h") % noise == 0, less).otherwise(F.col("run")).alias("word")).where(
-        F.length("word") >= min_chars)
+    number = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    runs = F.regexp_extract_all(whole("text"), F.lit(f"{_LETTER}{{{min_chars},}}+"), F.lit(0))
+
+    def lost(run: Column) -> Column:
+        h = F.crc32(F.concat(number, F.lit(":"), run).cast("binary"))
+        at = F.pmod(h, F.length(run).cast("bigint")).cast("int")
+        return F.when(h % noise == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+    # Inside the generator every step is worked out once; filters behind it see its result.
+    low = F.transform(runs, lambda run: F.when(run.rlike("[A-Z]"), F.translate(run, _UPPER, _UPPER.lower())).otherwise(run))
+    found = docs.select(F.explode(F.transform(low, lost) if noise else low).alias("word"))
+    return found.where(F.length("word") >= min_chars)
 
 
 def vocabulary(found: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -138,16 +138,14 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, letter``: every prefix of the later half with the letter behind it; 0 where a word ends,
-    -1 where one has its middle."""
+    """``node, letter``: every prefix of the later half with the letter behind it; 0 where a word ends."""
     for _, words in _pieces(batches):
         for _, prefixes, middles in _sides(words):
             text, size = prefixes.later_half(middles)
             letters = np.append(prefixes.letters, 0)[np.minimum(prefixes.starts[text] + size, len(prefixes.letters))]
             letters[size == prefixes.sizes[text]] = 0
-            nodes = np.concatenate([prefixes.of(text, size), prefixes.of(np.arange(len(words)), middles)])
-            letters = np.concatenate([letters, np.full(len(words), -1)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([_signed(nodes), pa.array(letters)], names=["node", "letter"])
+            yield pa.RecordBatch.from_arrays(
+                [_signed(prefixes.of(text, size)), pa.array(letters.astype(np.int32))], names=["node", "letter"])
 
 
 _EDGE = "node long, label string, child long, word string, n long"
@@ -157,11 +155,12 @@ _STATE = "node long, text string, position int, edits int, side int, near string
 def _nodes(known: DataFrame) -> DataFrame:
     letters = known.select("word").mapInArrow(_branches, "node long, letter int").groupBy("node").agg(
         F.min("letter").alias("low"), F.max("letter").alias("high"))
-    return letters.where("low < 1 or low <> high").select("node")
+    return letters.where("low = 0 or low <> high").select("node")
 
 
 def _edges(known: DataFrame, is_node: Seen) -> DataFrame:
-    """``node`` and ``edges``: what leads on from there, and the word that ends at the child, if any."""
+    """``node`` and ``edges``: by first letter what leads on from there, and the word that ends at the
+    child, if any; under no letter the word that ends at the node itself."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _pieces(batches):
             for _, prefixes, middles in _sides(words):
@@ -171,6 +170,8 @@ def _edges(known: DataFrame, is_node: Seen) -> DataFrame:
                 text, size, hashes = text[held], size[held], hashes[held]
                 a = np.flatnonzero(text[1:] == text[:-1])
                 b, begin = a + 1, prefixes.starts[text]
+                last = np.flatnonzero(size == prefixes.sizes[text])
+                a, b = np.concatenate([a, last]), np.concatenate([b, last])
                 labels = [prefixes.joined[i:j] for i, j in zip(
                     (begin + size)[a].tolist(), (begin + size)[b].tolist(), strict=True)]
                 ending = pa.array(text[b], mask=size[b] != prefixes.sizes[text[b]])
@@ -181,16 +182,28 @@ def _edges(known: DataFrame, is_node: Seen) -> DataFrame:
 
     once = known.select("word", "n").mapInArrow(cut, _EDGE).groupBy("node", "child").agg(
         F.max("label").alias("label"), F.max("word").alias("word"), F.max("n").alias("n"))
-    return once.groupBy("node").agg(F.collect_list(F.struct("label", "child", "word", "n")).alias("edges"))
+    entry = F.struct(F.substring("label", 1, 1), F.struct("label", "child", "word", "n"))
+    # A leaf leads nowhere.
+    return once.groupBy("node").agg(F.collect_list(entry).alias("edges"), F.max("label").alias("any")).where(
+        "any <> ''").select("node", F.map_from_entries("edges").alias("edges"))
 
 
-def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, words in _pieces(batches):
-        for side, prefixes, middles in _sides(words):
-            texts = pa.array([word[::-1] for word in words] if side else words, pa.string())
-            n = len(words)
-            yield _states(prefixes.of(np.arange(n), middles), texts, middles, np.zeros(n), np.full(n, side),
-                          pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()))
+def _starts(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Words that share a prefix up to the middle share it up to the first node behind it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, words in _pieces(batches):
+            for side, prefixes, middles in _sides(words):
+                text, size = prefixes.later_half(middles)
+                behind = size >= middles[text]
+                text, size = text[behind], size[behind]
+                hashes = prefixes.of(text, size)
+                held = np.flatnonzero(is_node.holds(hashes))
+                words_held, first = np.unique(text[held], return_index=True)  # the end of a word is a node
+                at, n = held[first], len(words_held)
+                yield _states(hashes[at], pa.array([word[::-1] for word in words] if side else words, pa.string()),
+                              size[at], np.zeros(n), np.full(n, side), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()))
+
+    return run
 
 
 def _states(node: np.ndarray, text: pa.Array, position: np.ndarray, edits: np.ndarray, side: np.ndarray,
@@ -200,14 +213,21 @@ def _states(node: np.ndarray, text: pa.Array, position: np.ndarray, edits: np.nd
         names=[c.split()[0] for c in _STATE.split(", ")])
 
 
+def _ways() -> Column:
+    """The edges that a state may follow: one if its edit is spent, else all."""
+    onward = F.array(F.try_element_at("edges", F.substring("rest", 1, 1)))
+    return F.when(F.col("edits") == 1, onward).otherwise(F.map_values("edges"))
+
+
 def _hopeful() -> Column:
     """Whether an edge can lead a state on. If it begins with the letter at hand only a look at all of
-    its letters tells; else what stands behind an edit there must match."""
+    its letters tells; else what stands behind an edit there must match. The word that ends at the node
+    itself counts for a state with one letter to go."""
     label, spent = F.col("edge.label"), F.col("edits") == 1
     tail, onward = F.substring(label, F.lit(2), F.length(label)), F.substring("rest", F.lit(2), F.length("rest"))
     behind = F.startswith("rest", tail) | ((F.col("rest") != "") & (F.startswith(onward, tail) | F.startswith(onward, label)))
     same = F.substring(label, 1, 1) == F.substring("rest", 1, 1)
-    return F.when(spent, F.startswith("rest", label)).otherwise(same | behind)
+    return F.when(label == "", ~spent & (F.length("rest") == 1)).when(spent, F.startswith("rest", label)).otherwise(same | behind)
 
 
 def _advance(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -221,11 +241,9 @@ def _advance(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             own = Prefixes(texts, side)
             reach, row = at + width, np.arange(len(texts))
             fits = reach <= own.sizes
-            exact = fits & ((edits == 1) | (own.of(row, np.where(fits, reach, 0)) == child))
-            on = np.flatnonzero(exact)
-            # The last letter less: the word ends one letter after another one does.
-            less = np.flatnonzero(exact & (edits == 0) & ends & (own.sizes - reach == 1))
-            off = np.flatnonzero(~exact & (edits == 0))
+            exact = fits & (width > 0) & ((edits == 1) | (own.of(row, np.where(fits, reach, 0)) == child))
+            on, off = np.flatnonzero(exact), np.flatnonzero(~exact & (width > 0) & (edits == 0))
+            less = np.flatnonzero(width == 0)  # the last letter less
             # Another letter, a letter more, a letter less.
             tries = [(off, reach[off] + step) for step in (0, -1, 1)]
             state = np.concatenate([on, less, *(rows for rows, _ in tries)])
@@ -253,15 +271,15 @@ def neighbours(known: DataFrame) -> DataFrame:
 
     is_node = twice_seen(_nodes(known), node_hashes, times=1)
     edges = scratch_table(_edges(known, is_node), "trie")
-    level = scratch_table(known.select("word").mapInArrow(_starts, _STATE), "frontier")
+    level = scratch_table(known.select("word").mapInArrow(_starts(is_node), _STATE), "frontier")
     found, advance = None, _advance(is_node)
     while True:
         frontier = level.where("near is null")
         if frontier.isEmpty():
             break
-        met = frontier.join(edges.hint("shuffle_hash"), "node").select(
-            "text", "position", "edits", "side", F.substring("text", F.col("position") + 1, F.length("text")).alias("rest"),
-            F.explode("edges").alias("edge")).where(_hopeful())
+        rest = F.substring("text", F.col("position") + 1, F.length("text"))
+        met = frontier.withColumn("rest", rest).join(edges.hint("shuffle_hash"), "node").select(
+            "text", "position", "edits", "side", "rest", F.explode(_ways()).alias("edge")).where(_hopeful())
         level = scratch_table(met.select(
             "text", "position", "edits", "side", F.length("edge.label").alias("width"), "edge.child", "edge.word",
             "edge.n").mapInArrow(advance, _STATE), "frontier")
