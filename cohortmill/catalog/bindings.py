@@ -13,6 +13,8 @@ from ..config import AnalysisWindow, MartConfig, TableConfig, Tier
 from ..operators.cleaning import attendance_days, clean_users
 from ..operators.clusters import ClusterModel, score
 from ..operators.profile import activity_summary, general_users, user_profile
+from ..operators.sketches import active_user_weeks
+from ..operators.timeseries import user_weeks
 from ..session import ensure_session
 from ..sources.files import FileSource, read_table, zoned
 
@@ -183,6 +185,15 @@ class Bound:
             "cast(100 * (user_id % 6) as bigint) as monetary",
             "cast(if(user_id % 6 = 3, 50, 0) as bigint) as block_cnt")
 
+    @cached_property
+    def weeks(self) -> DataFrame:
+        """One row per user and week over votes, payments and attendance."""
+        return user_weeks(CONFIG, votes=self.votes, payments=self.payments, attendance=self.days)
+
+    @cached_property
+    def active(self) -> DataFrame:
+        return active_user_weeks(self.weeks, self.cluster_map, CONFIG)
+
     @cached_property
     def cluster_map(self) -> DataFrame:
         return score(self.general, MODEL).select("user_id", "cluster")

@@ -267,6 +267,100 @@ def _with(*parts: str, select: str) -> str:
 FACTS = (EV, VOTES, BLOCKS, PAYMENTS, POINTS)
 
 
+SESSIONS = """marked AS (
+  SELECT *, coalesce(ts > lag(ts) OVER w + INTERVAL 30 MINUTE, TRUE)::INT AS begins
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (
+  SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS number FROM marked),
+sessions AS (
+  SELECT user_id, min(ts) AS started_at, max(ts) AS ended_at,
+    (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 AS seconds,
+    count(*) AS n_events, CAST(count(*) FILTER (event_type = 'click') AS BIGINT) AS votes
+  FROM numbered GROUP BY user_id, number)"""
+
+
+def _over_time(people: tuple, labelled: tuple, weekly: tuple) -> dict[str, str]:
+    """Sessions, last votes, spans, cube, rankings and statuses, by range joins and distinct counts."""
+    cfg = b.CONFIG
+    first, end = cfg.frame_window.first_monday, cfg.window.end
+    series = (*weekly, _frame(cfg), _cum(), _series(cfg))
+    tiny = "CAST(cluster AS TINYINT) AS cluster"
+    stays = """statuses AS (
+  SELECT cluster, week_start, unnest(['war', 'arpu', 'vpu']) AS kpi, unnest([war_status, arpu_status, vpu_status]) AS status
+  FROM series),
+changes AS (
+  SELECT *, lag(status) OVER w AS before, coalesce(status <> lag(status) OVER w, TRUE)::INT AS begins
+  FROM statuses WINDOW w AS (PARTITION BY cluster, kpi ORDER BY week_start)),
+counted AS (
+  SELECT *, sum(begins) OVER (PARTITION BY cluster, kpi ORDER BY week_start ROWS UNBOUNDED PRECEDING) AS number FROM changes),
+stays AS (
+  SELECT cluster, kpi, CAST(number AS BIGINT) AS number, min(status) AS status, arg_min_null(before, week_start) AS came_from,
+    min(week_start) AS since, CAST(max(week_start) + INTERVAL 7 DAY AS DATE) AS until, count(*) AS weeks
+  FROM counted GROUP BY cluster, kpi, number)"""
+    change = ", ".join(
+        f"{m}, {m} - lag({m}) OVER w AS {m}_change,"
+        f" round(CASE WHEN lag({m}) OVER w IS NULL THEN NULL WHEN lag({m}) OVER w > 0"
+        f" THEN CAST({m} - lag({m}) OVER w AS DOUBLE) / lag({m}) OVER w * 100 ELSE 0 END, 6) AS {m}_change_pct"
+        for m in ("active_users", "vote_cnt", "revenue"))
+    members = """members AS (SELECT DISTINCT week_start, cluster, user_id FROM acts)"""
+
+    # Any fact of a user-week; people without any are in no cell.
+    facts = f"""facts AS (
+  SELECT user_id, CAST(date_trunc('week', act) AS DATE) AS week_start, kind, price FROM (
+    SELECT user_id, created_at AS act, 'vote' AS kind, 0 AS price FROM votes
+    UNION ALL SELECT user_id, attendance_date, 'view', 0 FROM days
+    UNION ALL SELECT user_id, created_at, 'pay', CASE "productId" WHEN 'heart.200' THEN 900 WHEN 'heart.777' THEN 1900
+      WHEN 'heart.1000' THEN 2900 WHEN 'heart.4000' THEN 9900 ELSE 0 END FROM payments) AS x
+  WHERE {_between('act', cfg)}),
+known AS (
+  SELECT f.*, t.cluster, c.gender FROM facts AS f JOIN target AS t USING (user_id) JOIN clean AS c USING (user_id)
+  WHERE week_start BETWEEN DATE '{first}' AND DATE '{end}')"""
+    cube = f"""SELECT week_start, grouping(week_start) = 1 AS all_weeks, {tiny}, gender, grouping(cluster) = 1 AS all_clusters,
+  grouping(gender) = 1 AS all_genders,
+  CAST(count(DISTINCT user_id) FILTER (kind <> 'pay') AS BIGINT) AS active_users,
+  CAST(count(DISTINCT user_id) FILTER (kind = 'vote') AS BIGINT) AS voters,
+  CAST(count(*) FILTER (kind = 'vote') AS BIGINT) AS votes, CAST(sum(price) AS BIGINT) AS revenue
+FROM known GROUP BY CUBE (week_start, cluster, gender)"""
+    return {
+        "user_sessions": f"WITH {SESSIONS} SELECT * REPLACE (round(seconds, 6) AS seconds) FROM sessions",
+        "daily_sessions": f"""WITH {SESSIONS}
+SELECT CAST(started_at AS DATE) AS day, count(*) AS sessions, count(DISTINCT user_id) AS users,
+  CAST(sum(n_events) AS BIGINT) AS events, round(sum(seconds), 3) AS seconds,
+  CAST(count(*) FILTER (CAST(ended_at AS DATE) > CAST(started_at AS DATE)) AS BIGINT) AS over_midnight
+FROM sessions GROUP BY ALL""",
+        "payments_after_votes": _with(*FACTS, select="""SELECT p.id AS payment_id, p.user_id, p.created_at AS paid_at,
+  v.id AS vote_id, v.created_at AS voted_at,
+  round((epoch_us(p.created_at) - epoch_us(v.created_at)) / 1000000, 6) AS seconds
+FROM payments AS p ASOF LEFT JOIN votes AS v ON p.user_id = v.user_id AND p.created_at > v.created_at"""),
+        "stream_weekly_votes": _with(*weekly, select=f"SELECT week_start, {tiny}, vote_cnt, vote_user_cnt FROM votes_cut"),
+        "status_stays": _with(*series, stays, select="SELECT * FROM stays"),
+        "time_in_status": _with(*series, stays, select="""SELECT cluster, kpi, status, count(*) AS stays,
+  CAST(sum(weeks) AS BIGINT) AS weeks, max(weeks) AS longest FROM stays GROUP BY ALL"""),
+        "active_users_spans": _with(*weekly, _frame(cfg), members, """mondays AS (SELECT DISTINCT week_start AS w FROM frame)""",
+                                    select=f"""SELECT a.w AS span_start, z.w AS span_end, {tiny},
+  count(DISTINCT user_id) AS active_users, TRUE AS close
+FROM mondays AS a JOIN mondays AS z ON a.w <= z.w JOIN members AS m ON m.week_start BETWEEN a.w AND z.w
+GROUP BY a.w, z.w, cluster"""),
+        "kpi_cube": _with(*labelled, ATTENDANCE, DAYS, facts, select=cube),
+        "top_voters": _with(*weekly, select=f"""SELECT week_start, {tiny}, user_id, n AS votes,
+  CAST(row_number() OVER (PARTITION BY week_start, cluster ORDER BY n DESC, user_id) AS INT) AS place,
+  CAST(rank() OVER (PARTITION BY week_start, cluster ORDER BY n DESC) AS INT) AS rank
+FROM per_user QUALIFY place <= 10"""),
+        "week_over_week": _with(*series, select=f"""SELECT week_start, cluster, {change}
+FROM series WINDOW w AS (PARTITION BY cluster ORDER BY week_start)"""),
+        "retention": _with(*weekly, members, select=f"""SELECT m.week_start, CAST(m.cluster AS TINYINT) AS cluster, count(*) AS active,
+  CAST(count(*) FILTER (EXISTS (SELECT 1 FROM members AS x
+    WHERE x.user_id = m.user_id AND x.week_start = m.week_start - INTERVAL 7 DAY)) AS BIGINT) AS returned,
+  CAST(count(*) FILTER (EXISTS (SELECT 1 FROM members AS x
+    WHERE x.user_id = m.user_id AND x.week_start = m.week_start + INTERVAL 7 DAY)) AS BIGINT) AS retained,
+  CAST(count(*) FILTER (NOT EXISTS (SELECT 1 FROM members AS x
+    WHERE x.user_id = m.user_id AND x.week_start < m.week_start)) AS BIGINT) AS new,
+  round(CAST(count(*) FILTER (EXISTS (SELECT 1 FROM members AS x
+    WHERE x.user_id = m.user_id AND x.week_start = m.week_start + INTERVAL 7 DAY)) AS DOUBLE) / count(*) * 100, 6) AS retained_pct
+FROM members AS m GROUP BY ALL"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     cfg, mark, following = b.CONFIG, b.MARK, b.NEXT_MARK
     people = (USERS, *FACTS, _clean(), _summaries(cfg), _profile(cfg))
@@ -376,6 +470,7 @@ FROM mondays CROSS JOIN (VALUES {', '.join(f'({t})' for t in cfg.targets)}) AS t
         "dashboard_extract": _with(
             *weekly, _frame(wide), _cum(), _series(wide),
             select=f"SELECT * FROM series WHERE week_start >= DATE '{cfg.window.start}'"),
+        **_over_time(people, labelled, weekly),
         "incremental_scan": f"SELECT * FROM events WHERE ts > TIMESTAMP '{mark}'",
         "incremental_new_rows": f"""SELECT * FROM events
 WHERE ts > TIMESTAMP '{mark}' - INTERVAL 5 DAY

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TABLES, MartConfig, TableConfig
-from ..operators import cleaning, clusters, profile, timeseries
+from ..operators import asof, cleaning, clusters, profile, rankings, rollups, sessions, sketches, timeseries, transitions
 from ..operators.keys import unseen_in_slice
 from ..plans import load_table, load_warehouse, run_activity_mart, sync_replica
 from ..plans.load import LoadOptions
@@ -18,6 +18,7 @@ from ..plans.mart import append_new
 from ..schemas import CLUSTERS, SUPER_USERS, TIMESERIES, conform
 from ..session import scratch_dir
 from ..sources.store import TableStore
+from ..streaming import current_votes, run_vote_stream
 from . import bindings as b
 from .bindings import Bound
 
@@ -222,6 +223,90 @@ def dashboard_extract(t):
     return _doubles(timeseries.dashboard_extract(_timeseries(t, cfg), cfg))
 
 
+# ---- users over time -------------------------------------------------------------------
+
+
+def _sessions(t: Bound) -> DataFrame:
+    return sessions.user_sessions(t.events, measures={"votes": (F.col("event_type") == "click").cast("int")})
+
+
+@query
+def user_sessions(t):
+    """Events of a user with no gap of more than half an hour."""
+    return _doubles(_sessions(t))
+
+
+@query
+def daily_sessions(t):
+    return _doubles(sessions.daily_sessions(_sessions(t)), 3)
+
+
+@query
+def payments_after_votes(t):
+    """Each payment with the user's last vote before it."""
+    return _doubles(asof.payments_after_votes(t.payments, t.votes))
+
+
+@query
+def stream_weekly_votes(t):
+    """Weekly votes from a stream that is run twice, over what had landed by then."""
+    landing, checkpoint, store = scratch_dir(t.spark, "landing"), scratch_dir(t.spark, "stream"), _store(t, "stream")
+    mark = F.lit(str(b.MARK)).cast("timestamp")
+    for part in (F.col("created_at") <= mark, F.col("created_at") > mark):
+        t.votes.where(part).write.mode("append").parquet(landing)
+        run_vote_stream(t.spark.readStream.schema(t.votes.schema).parquet(landing), store, checkpoint, b.CONFIG)
+    weeks = current_votes(store).select("*", F.lit(0).cast("bigint").alias("revenue"), F.lit(0).alias("point_burn"),
+                                        F.lit(0).alias("net_flow"), F.col("last_vote").alias("last_act"))
+    return timeseries.weekly_facts(weeks, t.cluster_map, b.CONFIG).where("vote_user_cnt > 0").select(
+        "week_start", "cluster", "vote_cnt", "vote_user_cnt")
+
+
+@query
+def status_stays(t):
+    """How long each cluster stayed in a status, and where it came from."""
+    return transitions.stays(_timeseries(t))
+
+
+@query
+def time_in_status(t):
+    return transitions.time_in_status(transitions.stays(_timeseries(t)))
+
+
+@query
+def active_users_spans(t):
+    """Distinct active users of every span of weeks, exactly, and whether stored sketches come as close
+    as their error promises."""
+    store = _store(t, "sketches")
+    for cfg in (b.EARLY, b.LATE):
+        fresh = sketches.weekly_sketches(t.active.where(F.col("week_start") <= F.lit(cfg.window.end)))
+        if store.exists("activity_sketches"):
+            fresh = fresh.join(store.read("activity_sketches"), ["week_start", "cluster"], "left_anti")
+        store.append("activity_sketches", fresh, f"{cfg.window.end}", key=("week_start", "cluster"))
+    sketched = sketches.sketched_spans(store.read("activity_sketches"), b.CONFIG)
+    return sketches.compared(sketched, sketches.exact_spans(t.active, b.CONFIG))
+
+
+@query
+def kpi_cube(t):
+    """Users, votes and revenue by week, cluster and gender, with every total."""
+    return rollups.kpi_cube(t.weeks, t.clean, t.cluster_map, b.CONFIG)
+
+
+@query
+def top_voters(t):
+    return rankings.top_voters(t.weeks, t.cluster_map, b.CONFIG)
+
+
+@query
+def week_over_week(t):
+    return _doubles(rankings.week_over_week(_timeseries(t)))
+
+
+@query
+def retention(t):
+    return _doubles(rankings.retention(t.active))
+
+
 # ---- loads -----------------------------------------------------------------------------
 
 

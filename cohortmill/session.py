@@ -22,6 +22,8 @@ SESSION_CONF = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Session windows are merged in the reading task before they are shuffled.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
