@@ -93,8 +93,8 @@ def _holds(kind: str, value: Column) -> Column:
 
 def _matches(text: Column, kind: str) -> Column:
     hint = text.contains(_HINTS[kind]) if _HINTS[kind] else text.rlike("[0-9]")
-    return F.when(hint, F.filter(_located(text, _PATTERNS[kind]), lambda m: _holds(kind, m["value"]))).otherwise(
-        F.array().cast(_SPANS))
+    keep = None if kind == "email" else lambda value: _holds(kind, value)
+    return F.when(hint, _located(text, _PATTERNS[kind], keep)).otherwise(F.array().cast(_SPANS))
 
 
 def _terms(text: Column) -> Column:
@@ -120,13 +120,13 @@ def _around(text: Column, spans: Column) -> Column:
 
 def base_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash``, one array of matches per kind, the contexts of all of them, and the terms
-    of a text that has any."""
+    of a text that has any, with that text."""
     text = docs.select("doc_id", whole("text").alias("text"))
     found = text.select("*", *[_matches(F.col("text"), kind).alias(kind) for kind in KINDS])
     held = F.size(F.concat(*KINDS)) > 0
     return found.select("doc_id", F.xxhash64("text").alias("text_hash"), *KINDS,
                         _around(F.col("text"), F.concat(*KINDS)).alias("contexts"),
-                        F.when(held, _terms(F.col("text"))).alias("terms"))
+                        F.when(held, _terms(F.col("text"))).alias("terms"), F.when(held, F.col("text")).alias("text"))
 
 
 def _term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -178,7 +178,8 @@ def _revealing(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
     told = holders.join(disclosures(docs, found, holders, support), "entity").groupBy("text_hash", "term").agg(
         F.max("disclosed").alias("disclosed")).groupBy("text_hash").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "disclosed"))).alias("told"))
-    texts = docs.select(whole("text").alias("text")).select("text", F.xxhash64("text").alias("text_hash"))
+    # Only texts with an entity, each once: tasks fold copies before anything is shuffled.
+    texts = found.where(F.size("contexts") > 0).groupBy("text_hash").agg(F.first("text").alias("text"))
     hits = _located(F.col("text"), _TERM, lambda hit: F.map_contains_key("told", F.lower(hit)))
 
     def named(hit: Column) -> Column:
@@ -186,7 +187,7 @@ def _revealing(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
         return F.struct(hit["start"].alias("start"), (F.lit(len(KINDS)) + kind).alias("order"),
                         F.get(F.array(*map(F.lit, ADDED)), kind).alias("kind"), hit["end"].alias("end"))
 
-    return texts.join(scratch_table(told, "disclosing"), "text_hash").dropDuplicates(["text_hash"]).select(
+    return texts.join(scratch_table(told, "disclosing"), "text_hash").select(
         "text_hash", F.transform(hits, named).alias("added"))
 
 
