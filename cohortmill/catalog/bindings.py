@@ -176,14 +176,29 @@ class Bound:
 
     @cached_property
     def grouped(self) -> DataFrame:
-        """Ordinary users in six far-apart groups by key, all members alike: the groups any fit
-        must find, numbered by the recency of their centres. Real profiles: ``cluster_profiles``."""
-        return self.general.selectExpr(
-            "user_id", "cast(10 * (user_id % 6) as int) as friend_cnt",
-            "cast(40 * (user_id % 6) + user_id % 3 as bigint) as recency",
-            "cast(user_id % 2 as bigint) as frequency",
-            "cast(100 * (user_id % 6) as bigint) as monetary",
-            "cast(if(user_id % 6 = 3, 50, 0) as bigint) as block_cnt")
+        """The profile with six far-apart groups by key, each with a spread that is small against
+        the gaps between them: the groups any fit must find, numbered by the recency of their centres. Real profiles: ``cluster_profiles``."""
+        return self.profile.withColumns({
+            "friend_cnt": F.expr("cast(10 * (user_id % 6) as int)"),
+            "recency": F.expr("cast(40 * (user_id % 6) + (user_id div 6) % 4 as bigint)"),
+            "frequency": F.expr("cast(user_id % 2 as bigint)"),
+            "monetary": F.expr("cast(100 * (user_id % 6) + (user_id div 24) % 5 * (user_id % 6) as bigint)"),
+            "block_cnt": F.expr("cast(if(user_id % 6 = 3, 50, 0) as bigint)")})
+
+    @cached_property
+    def broken_props(self) -> DataFrame:
+        """Events, some with JSON that is broken, lacks the field, or holds it as something else."""
+        return self.events.withColumn("props", F.expr("""case
+            when event_id % 41 = 0 then '{"k": 1' when event_id % 43 = 0 then '{"j": 2}'
+            when event_id % 47 = 0 then '{"k": null}' when event_id % 53 = 0 then '{"k": "7"}'
+            when event_id % 59 = 0 then null when event_id % 61 = 0 then '[1]' else props end"""))
+
+    @cached_property
+    def faulty_copy(self) -> DataFrame:
+        """The clean users as a replica might hold them: some lost, changed, twice there, or made up."""
+        kept = self.clean.where("user_id % 101 <> 0").withColumn("point", F.expr("if(user_id % 103 = 0, point + 1, point)"))
+        return kept.unionByName(kept.where("user_id % 107 = 0")).unionByName(
+            self.clean.where("user_id % 109 = 0").withColumn("user_id", F.expr("user_id + 1000000000")))
 
     @cached_property
     def weeks(self) -> DataFrame:

@@ -447,10 +447,22 @@ FROM features AS f JOIN labels AS l ON l.user_id = f.user_id"""),
         "cluster_users": _with(
             *people,
             select="""SELECT user_id, CAST(10 * (user_id % 6) AS INT) AS friend_cnt,
-  CAST(40 * (user_id % 6) + user_id % 3 AS DOUBLE) AS recency, CAST(user_id % 2 AS DOUBLE) AS frequency,
-  CAST(100 * (user_id % 6) AS DOUBLE) AS monetary,
+  CAST(40 * (user_id % 6) + (user_id // 6) % 4 AS DOUBLE) AS recency, CAST(user_id % 2 AS DOUBLE) AS frequency,
+  CAST(100 * (user_id % 6) + (user_id // 24) % 5 * (user_id % 6) AS DOUBLE) AS monetary,
   CAST(CASE WHEN user_id % 6 = 3 THEN 50 ELSE 0 END AS INT) AS block_cnt, CAST(user_id % 6 AS TINYINT) AS cluster
 FROM profile WHERE user_type = 'General'"""),
+        "mart_refit": _with(
+            *people, select="SELECT user_id, CAST(user_id % 6 AS TINYINT) AS cluster FROM profile WHERE user_type = 'General'"),
+        "mart_refresh": _with(*super_runs, select=f"SELECT {SUPER_COLUMNS} FROM profile_late WHERE user_type = 'Super'"),
+        "replica_reconciled": _with(USERS, _clean(), select="""SELECT user_id, CASE WHEN user_id % 101 = 0 THEN 'lost'
+    WHEN user_id % 107 = 0 THEN 'doubled' ELSE 'changed' END AS fault, 1::BIGINT AS source_rows,
+  CASE WHEN user_id % 101 = 0 THEN 0 WHEN user_id % 107 = 0 THEN 2 ELSE 1 END::BIGINT AS copy_rows
+FROM clean WHERE user_id % 101 = 0 OR user_id % 103 = 0 OR user_id % 107 = 0
+UNION ALL SELECT user_id + 1000000000, 'extra', 0, 1 FROM clean WHERE user_id % 109 = 0"""),
+        "typed_props": """SELECT event_id, CASE WHEN fault IS NULL THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, fault
+FROM (SELECT *, CASE WHEN event_id % 41 = 0 THEN 'broken' WHEN event_id % 43 = 0 THEN 'missing'
+    WHEN event_id % 47 = 0 THEN 'null' WHEN event_id % 53 = 0 THEN 'wrong type' WHEN event_id % 59 = 0 THEN 'no text'
+    WHEN event_id % 61 = 0 THEN 'missing' END AS fault FROM events) AS e""",
         "cluster_profiles": _with(
             *people, select="SELECT user_id, TRUE AS labelled FROM profile WHERE user_type = 'General'"),
         "week_frame": f"""WITH span AS (SELECT CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS z FROM events),

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TABLES, MartConfig, TableConfig
+from ..functions import json_fault, json_field
 from ..operators import asof, cleaning, clusters, profile, rankings, rollups, sessions, sketches, timeseries, transitions
 from ..operators.keys import unseen_in_slice
 from ..plans import load_table, load_warehouse, run_activity_mart, sync_replica
 from ..plans.load import LoadOptions
 from ..plans.load import incremental_scan as rows_since
-from ..plans.mart import append_new
+from ..plans.mart import append_new, update_clusters, update_super_users
+from ..plans.reconcile import reconcile
 from ..schemas import CLUSTERS, SUPER_USERS, TIMESERIES, conform
 from ..session import scratch_dir
 from ..sources.store import TableStore
@@ -73,6 +75,13 @@ def broken_text_counts(t):
     return cleaning.text_faults(t.broken_users, t.broken_attendance)
 
 
+@query
+def typed_props(t):
+    """A field of JSON text with its type, or what is wrong with it."""
+    return t.broken_props.select(
+        "event_id", json_field(F.col("props"), "$.k", "bigint").alias("k"), json_fault(F.col("props"), "$.k", "bigint").alias("fault"))
+
+
 # ---- profile ---------------------------------------------------------------------------
 
 
@@ -141,7 +150,7 @@ def score_clusters(t):
 @query
 def cluster_users(t):
     """Labels by a model fitted to the data, whose groups are known."""
-    labelled, _ = clusters.cluster_users(t.grouped, b.CONFIG)
+    labelled, _ = clusters.cluster_users(profile.general_users(t.grouped), b.CONFIG)
     return conform(labelled, CLUSTERS)
 
 
@@ -401,6 +410,31 @@ def append_new_keys(t):
     return _super_mart(t).read(SUPER_USERS.name)
 
 
+@query
+def mart_refresh(t):
+    """Heavy voters after a run and a refresh with later data: rewritten by key, all at their new values."""
+    mart = _store(t, "refresh")
+    for cfg, refresh in ((b.EARLY, False), (b.LATE, True)):
+        update_super_users(mart, t.profile_of(cfg), f"{cfg.window.end}", refresh=refresh)
+    return mart.read(SUPER_USERS.name)
+
+
+@query
+def mart_refit(t):
+    """Labels after a refit: those of a stored model are rewritten, also of users who have left."""
+    mart = _store(t, "refit")
+    mart.replace(clusters.MODEL_TABLE, b.MODEL.to_frame(t.spark), "fixed")
+    update_clusters(mart, t.grouped, b.CONFIG, "first")
+    update_clusters(mart, t.grouped.where("user_id % 5 <> 0"), b.CONFIG, "second", refit=True)
+    return mart.read(CLUSTERS.name).select("user_id", "cluster")
+
+
+@query
+def replica_reconciled(t):
+    """What a replica with planted faults lacks, holds twice, or holds with other values."""
+    return reconcile(t.clean, t.faulty_copy, ["user_id"])
+
+
 @query
 def timeseries_append(t):
     """Time series after two runs: a week written while it was running stays as it was."""

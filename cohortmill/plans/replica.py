@@ -23,7 +23,8 @@ def sync_replica(
     tells which mart batches are still to come: only those are read, and a sync without news
     reads no data. Of their rows those with a new key are appended; both sides follow one
     contract, so keys are compared column by column and only the key columns of the replica
-    are read. ``refresh`` makes the replica a copy of the mart. A mart that was never written
+    are read. ``refresh`` makes the replica a copy of the mart, and so does a mart that was rewritten
+    since the last sync: its rows may have other values, or be gone. A mart that was never written
     leaves the replica as it is, under the name ``batch``.
     """
     written = []
@@ -31,12 +32,14 @@ def sync_replica(
         name, commits = contract.name, local.commits(contract.name)
         held = {c.batch for c in remote.commits(name)}
         newest = commits[-1].batch if commits else batch
-        if refresh:
+        covered = [c for c in commits if c.batch in held]
+        rewritten = bool(covered) and commits[-1].gen > covered[-1].gen
+        if refresh or rewritten:
             again = f"{newest}-copy-{len(held)}"
             rows = local.read(name, contract)
             written.append(remote.replace(name, rows, again if newest in held else newest))
             continue
-        synced = max((c.seq for c in commits if c.batch in held), default=-1)
+        synced = covered[-1].seq if covered else -1
         missing = [c for c in local.live(name) if c.seq > synced]
         if missing:
             rows = unseen(local.read_batches(name, missing), remote.read(name, contract), contract.key)
