@@ -52,7 +52,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.place(table(spark, folder, "documents"), sharding.regrouped(SHARDS))
+    return sharding.place(table(spark, folder, "documents"), sharding.tree(SHARDS))
 
 
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,9 +5,10 @@ smallest draw ``-ln(u) / weight``, ``u`` a uniform hash of the key and the child
 children do not depend on one another, so a change of weight moves keys only into or out of the
 child that changed; every other subtree keeps its own.
 
-The tree obeys the law ``key``: doc_id and the shard count alone decide. A tree grows by a region
-of one shard, so the keys that move go to the new shard and nowhere else. ``regrouped`` folds such
-regions back into full ones when a general move is acceptable.
+The law is ``key``: doc_id and the shard count alone decide, as ``tree`` builds the one tree of a count.
+Beyond ``FULL`` shards a tree grows by a region of one shard, so the keys that move go to the new shard
+and nowhere else. ``regrouped`` is another law: it folds such regions into full ones, from one count to
+the next it moves keys between old shards too, and is for when a general move is acceptable.
 
 Defined results: a null doc_id is a key like any other; a null text has size 16 and CRC 0; repeated
 rows go to the same shard and get slots of their own.
@@ -25,6 +26,7 @@ from .common import scratch_table, whole
 
 RACKS, PER_RACK = 2, 5
 ROWS_PER_BUCKET = 20_000
+FULL = 40  # shards in full regions; later ones stand alone
 
 
 @dataclass(frozen=True)
@@ -67,6 +69,14 @@ def grown(tree: Node, weight: float = 1.0) -> Node:
     return Node(tree.name, children=(*tree.children, Node(name, children=(Node(f"{name}/k0", children=(leaf,)),))))
 
 
+def tree(n_shards: int, full: int = FULL) -> Node:
+    """The tree of a number of shards: from ``full`` on, that of one less, grown."""
+    node = regrouped(min(n_shards, full))
+    for _ in range(full, n_shards):
+        node = grown(node)
+    return node
+
+
 def _draw(key: Column, node: Node) -> Column:
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(node.name), key), 11)
     return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / node.weight
