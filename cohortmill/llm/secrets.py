@@ -7,7 +7,8 @@ by dynamic programming. From ``STRONG`` on (powers of ten) it is reported as ``g
 placeholder such as ``changeme`` is not.
 
 The cost of a word is its rarity in the corpus, counted over all documents. Only words that occur
-inside some value are looked up, by a join, so no dictionary is sent around.
+inside some value are looked up, by a join, so no dictionary is sent around. A value of any length
+is judged whole; its stretches stream past, a bounded number at a time.
 
 Defined results: a null or empty text has no span; repeated rows get the same spans each; only
 doc_id and text are read. An empty table gives no row.
@@ -19,7 +20,6 @@ import math
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from .common import scratch_table, sha256, whole, words_of
 KINDS = ("assign", "access", "hex", "guess")
 STRONG = 8.0
 WORD = (3, 20)  # letters of a word inside a value
+STARTS = 4096  # places of a value whose stretches are held at once
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -116,11 +117,24 @@ def guess_cost(value: str, words: dict[str, float]) -> float:
     return best[n]
 
 
-def _parts(value: str) -> set[str]:
-    """All stretches of letters of a value that could be a word."""
+def _parts(value: str) -> Iterator[list[str]]:
+    """All stretches of letters of a value that could be a word, ``STARTS`` places at a time.
+
+    A stretch comes once per piece: what is held is bounded by the piece, however long the value.
+    """
     least, most = WORD
-    return {run[i:j] for run in _RUNS.findall(value.lower())
-            for i in range(len(run)) for j in range(i + least, min(i + most, len(run)) + 1)}
+    held: set[str] = set()
+    places = 0
+    for run in _RUNS.finditer(value.lower()):
+        first, last = run.span()
+        for i in range(first, last - least + 1):
+            held.update(run.string[i:j] for j in range(i + least, min(i + most, last) + 1))
+            places += 1
+            if places == STARTS:
+                yield sorted(held)
+                held, places = set(), 0
+    if held:
+        yield sorted(held)
 
 
 def _scan(docs: DataFrame) -> DataFrame:
@@ -149,38 +163,46 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 
 def value_costs(docs: DataFrame, values: DataFrame) -> DataFrame:
-    """``value, cost`` of every distinct value, words priced by their share of the corpus."""
-    distinct = values.select("value").distinct()
+    """``value_key, cost`` of every distinct value, words priced by their share of the corpus.
+
+    ``values`` holds ``value_key``, a hash of the value, beside the value. Stretches travel with the
+    hash, never with the value, so a long value costs no more than its length times the longest word.
+    """
+    distinct = values.select("value_key", "value").dropDuplicates(["value_key"])
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = [(value, part) for value in batch.column(0).to_pylist() for part in sorted(_parts(value))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v for v, _ in pairs], pa.string()), pa.array([p for _, p in pairs], pa.string())],
-                names=["value", "word"])
+            for key, value in zip(batch.column(0), batch.column(1), strict=True):
+                for words in _parts(value.as_py()):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(key, len(words)), pa.array(words, pa.string())], names=["value_key", "word"])
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             costs = [guess_cost(value, {w["word"]: w["cost"] for w in words or ()})
-                     for value, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(costs))], names=["value", "cost"])
+                     for value, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(costs, pa.float64())], names=["value_key", "cost"])
 
-    inside = distinct.mapInArrow(parts, "value string, word string")
+    inside = distinct.mapInArrow(parts, "value_key string, word string")
     counts = docs.select(F.explode(words_of(F.lower(whole("text")))).alias("word")).where(
         F.length("word").between(*WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = scratch_table(counts, "word-counts")
     total = counts.agg(F.sum("n").alias("n")).first()["n"] or 1
     wanted = counts.join(inside.select("word").distinct(), "word", "left_semi")
     priced = wanted.select("word", F.log10(F.lit(float(total)) / F.col("n")).alias("cost"))
-    known = inside.join(priced, "word").groupBy("value").agg(F.collect_list(F.struct("word", "cost")).alias("words"))
-    return distinct.join(known, "value", "left").select("value", "words").mapInArrow(price, "value string, cost double")
+    # The words of one value, once each: a set bounded by the length of that value.
+    known = inside.join(priced, "word").groupBy("value_key").agg(F.collect_set(F.struct("word", "cost")).alias("words"))
+    return distinct.join(known, "value_key", "left").select("value_key", "value", "words").mapInArrow(
+        price, "value_key string, cost double")
 
 
 def find_secrets(docs: DataFrame, strong: float = STRONG) -> DataFrame:
     """``doc_id, base, spans``: matches of the patterns, and all spans, as ``start, order, kind, end``."""
     scanned = scratch_table(_scan(docs).withColumn("row", F.monotonically_increasing_id()), "secrets")
-    values = scanned.select("row", F.explode("values").alias("v")).select("row", "v.*")
-    strongest = values.join(value_costs(docs, values), "value").where(F.col("cost") >= strong).groupBy("row").agg(
+    values = scanned.select("row", F.explode("values").alias("v")).select(
+        "row", "v.*", sha256(F.col("v.value")).alias("value_key"))
+    strongest = values.drop("value").join(value_costs(docs, values), "value_key").where(F.col("cost") >= strong).groupBy("row").agg(
         F.collect_list(F.struct("start", F.lit(3).alias("order"), "end")).alias("added"))
     empty = F.array().cast("array<struct<start:bigint,order:int,end:bigint>>")
 

@@ -1,6 +1,8 @@
 """Plain Python versions of the operators' contracts, and small tables with every odd case."""
 
+import functools
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -201,3 +203,35 @@ def filled(doc_id, text, seed=42, rate=50, spm=80, unit="token"):
     if h4 % 100 < spm:
         return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
     return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def guesses(value, words, walks, date):
+    """Powers of ten of the guesses for a value, every cut tried. ``walks``: lines typed along."""
+    low, n = value.lower(), len(value)
+    alphabet = (10 * bool(re.search(r"\d", value)) + 26 * any(c.islower() for c in value)
+                + 26 * any(c.isupper() for c in value) + 33 * any(not c.isalnum() for c in value))
+    single, twice = math.log10(max(alphabet, 10)), math.log10(2)
+    lines = [line for walk in walks for line in (walk, walk[::-1])]
+
+    def beside(i):
+        return i > 0 and any(low[i - 1:i + 1] in line for line in lines)
+
+    def prices(a, b):
+        if b - a == 1:
+            yield single
+        if b - a >= 3 and not beside(a) and all(beside(i) for i in range(a + 1, b)):
+            yield math.log10(47 * (b - a))
+        if b - a >= 3 and len(set(value[a:b])) == 1 and (a == 0 or value[a - 1] != value[a]):
+            yield single + math.log10(b - a)
+        if (m := date.match(value, a)) and m.end() == b:
+            yield math.log10(200 * (1 if b - a == 4 else 366))
+        if low[a:b] in words:
+            yield words[low[a:b]] + (twice if value[a:b] != low[a:b] else 0)
+        if 2 <= b - a <= 12 and a >= b - a and value[2 * a - b:a] == value[a:b]:
+            yield twice
+
+    @functools.cache
+    def best(b):
+        return min((best(a) + p + (twice if 0 < a < b - 1 else 0) for a in range(b) for p in prices(a, b)), default=0.0)
+
+    return best(n)

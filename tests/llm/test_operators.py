@@ -1,6 +1,7 @@
 """Every operator against a plain version, over nulls, empty and long texts, copies, ties and
 clashing columns, and over empty tables."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -119,6 +120,30 @@ def test_guess_cost_prefers_the_cheapest_segmentation():
     assert cost["qwertyuiop"] < 4 and cost["aaaaaaaaaa"] < 4
 
 
+def test_guess_cost_equals_the_plain_programme():
+    draw = random.Random(5)
+    words = {"dragon": 4.0, "drag": 3.1, "pass": 2.5, "word": 2.6, "password": 2.0, "qwe": 5.0}
+    pieces = [*words, "Dragon", "1999", "2024-05-08", "08.05.2024", "qwerty", "4321", "aaaa", "abab", "x9", "#", "Q", "0", "é"]
+    values = ["".join(draw.choices(pieces, k=draw.randint(1, 6))) for _ in range(400)]
+    values += ["".join(draw.choices("ab1!", k=draw.randint(1, 14))) for _ in range(200)]
+    for value in values:
+        want = brute.guesses(value, words, secrets._WALKS, secrets._DATE)
+        assert secrets.guess_cost(value, words) == pytest.approx(want), value
+
+
+def test_secrets_in_very_long_values(spark):
+    draw = random.Random(6)
+    blob = "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1 << 20))
+    letters = "changeme" * 4000
+    pieces = list(secrets._parts(blob))
+    assert max(map(len, pieces)) <= secrets.STARTS * (secrets.WORD[1] - secrets.WORD[0] + 1)
+    rows = [(1, f"passphrase: {blob}"), (2, f"passphrase: {blob}"), (3, f"pwd = {letters}"), (4, "changeme and more")]
+    found = {r.doc_id: r.spans for r in secrets.digest(secrets.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert f"guess:12:{12 + len(blob)}" in found[1] and found[1] == found[2]
+    assert found[4] == ""
+
+
 def test_line_dedup(docs, empty, monkeypatch):
     got = brute.collected(linededup.drop_repeated_lines(docs), "row.doc_id", "n_lines", "n_dropped", "text")
     assert got == sorted(brute.line_dedup(ROWS), key=repr)
