@@ -25,10 +25,11 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 from .common import record_groups, scratch_table
 
 SALTS = 16
+CELLS = 1 << 30  # of a table of two token streams, a bit each, that is held at once
 PERIOD = 24  # tags in the longest unit that is recognised as repeated
 
 # What the elements of HTML are for.
@@ -228,6 +230,59 @@ def _places(marks: list[tuple[object, bool]], numbers: dict[tuple[int, object],
     return out
 
 
+def _gains(p: list[int], q: list[int]) -> Iterator[int]:
+    """After each of ``p``: the places of ``q`` that make its longest common subsequence longer, as zero bits."""
+    masks: dict[int, int] = {}
+    for j, place in enumerate(q):
+        masks[place] = masks.get(place, 0) | 1 << j
+    row = full = (1 << len(q)) - 1
+    for place in p:
+        if hit := row & masks.get(place, 0):
+            row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
+def _lengths(p: list[int], q: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``p`` and each beginning of ``q``."""
+    row = (1 << len(q)) - 1
+    for row in _gains(p, q):
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(-(-len(q) // 8), "little"), np.uint8), bitorder="little")
+    return np.concatenate([[0], np.cumsum(1 - bits[:len(q)].astype(np.int64))])
+
+
+def _moves(p: list[int], q: list[int]) -> str:
+    """A longest common subsequence as a walk through both: ``=`` in common, ``<`` left alone, ``>`` right alone.
+
+    A cell of the table is one bit. Of larger tables than ``CELLS`` the halves of the left side are walked one by one,
+    from where the right side is best cut, so memory is bounded for pages of any length.
+    """
+    if not p or not q:
+        return "<" * len(p) + ">" * len(q)
+    if len(p) * len(q) > CELLS and len(p) > 1:
+        half = len(p) // 2
+        cut = int(np.argmax(_lengths(p[:half], q) + _lengths(p[half:][::-1], q[::-1])[::-1]))
+        return _moves(p[:half], q[:cut]) + _moves(p[half:], q[cut:])
+    rows = [(1 << len(q)) - 1, *_gains(p[::-1], q[::-1])]
+
+    def common(i: int, j: int) -> int:
+        """Of what is left from ``i`` and ``j`` on."""
+        rest = len(q) - j
+        return rest - (rows[len(p) - i] & ((1 << rest) - 1)).bit_count()
+
+    out = []
+    i = j = 0
+    while i < len(p) or j < len(q):
+        if i < len(p) and j < len(q) and p[i] == q[j]:
+            out.append("=")
+        elif j == len(q) or (i < len(p) and common(i + 1, j) >= common(i, j + 1)):
+            out.append("<")
+        else:
+            out.append(">")
+        i, j = i + (out[-1] != ">"), j + (out[-1] != "<")
+    return "".join(out)
+
+
 def align(left: list, right: list) -> list:
     """A wrapper that matches whatever either side matches.
 
@@ -249,22 +304,14 @@ def align(left: list, right: list) -> list:
         end += 1
     x, y = a[begin:n - end], b[begin:m - end]
     p, q = p[begin:n - end], q[begin:m - end]
-    table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            table[i][j] = table[i + 1][j + 1] + 1 if p[i] == q[j] else max(table[i + 1][j], table[i][j + 1])
     merged = [(node, one or other) for (node, one), (_, other) in zip(a[:begin], b[:begin], strict=True)]
     i = j = 0
-    while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and p[i] == q[j]:
+    for move in _moves(p, q):
+        if move == "=":
             merged.append((x[i][0], x[i][1] or y[j][1]))
-            i, j = i + 1, j + 1
-        elif j == len(y) or (i < len(x) and table[i + 1][j] >= table[i][j + 1]):
-            merged.append((x[i][0], True))
-            i += 1
         else:
-            merged.append((y[j][0], True))
-            j += 1
+            merged.append((x[i][0] if move == "<" else y[j][0], True))
+        i, j = i + (move != ">"), j + (move != "<")
     if end:
         merged += [(node, one or other) for (node, one), (_, other) in zip(a[n - end:], b[m - end:], strict=True)]
     return _closed(merged)
@@ -336,7 +383,6 @@ def slots(wrapper: list) -> list[str]:
     return list(found)
 
 
-@lru_cache(1 << 16)
 def _excluded(path: str) -> bool:
     inside = False
     for name in path.split(">"):
@@ -349,7 +395,6 @@ def _excluded(path: str) -> bool:
     return False
 
 
-@lru_cache(1 << 16)
 def _marked(path: str) -> bool:
     for name in path.split(">"):
         tag, _, names = name.partition(".")
@@ -358,11 +403,12 @@ def _marked(path: str) -> bool:
     return False
 
 
-def content_slots(paths: list[str], volumes: dict[str, int], lengths: dict[str, int]) -> list[str]:
+def content_slots(paths: list[str], volumes: dict[str, int], lengths: dict[str, int],
+                  excluded: Callable[[str], bool] = _excluded, is_marked: Callable[[str], bool] = _marked) -> list[str]:
     """Those of a page's slots whose text is the article. ``volumes``: text beside links on the host
     that differs by page; ``lengths``: text beside links in the page, which decides between equals."""
-    usable = [path for path in paths if not _excluded(path)]
-    marked = [path for path in usable if _marked(path)]
+    usable = [path for path in paths if not excluded(path)]
+    marked = [path for path in usable if is_marked(path)]
     if marked:
         return marked
     weight: dict[str, tuple[int, int]] = {}
@@ -452,11 +498,12 @@ def extract(pages: DataFrame) -> DataFrame:
     volumes = _volumes(observed).groupBy("host").agg(F.collect_list(F.struct("path", "volume")).alias("volumes"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        excluded = lru_cache(1 << 16)(_excluded)
         for batch in batches:
             rules = []
             for wrapper, volume in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 known = {v["path"]: v["volume"] for v in volume or ()}
-                rules.append(json.dumps({path: known.get(path, 0) for path in slots(json.loads(wrapper)) if not _excluded(path)}))
+                rules.append(json.dumps({path: known.get(path, 0) for path in slots(json.loads(wrapper)) if not excluded(path)}))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rules, pa.string())], names=["host", "rule"])
 
     rules = scratch_table(hosts.join(volumes, "host", "left").select("host", "wrapper", "volumes").mapInArrow(
@@ -466,7 +513,9 @@ def extract(pages: DataFrame) -> DataFrame:
         T.StructField("text", T.StringType()), T.StructField("n_blocks", T.LongType())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Caches are made where they are used: one of the module would travel by its name.
         read = lru_cache(64)(lambda rule: json.loads(rule or "{}"))
+        excluded, is_marked = lru_cache(1 << 16)(_excluded), lru_cache(1 << 16)(_marked)
         for batch in batches:
             texts, counts = [], []
             for html, rule in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
@@ -475,7 +524,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 for block in blocks:
                     if block.path in volume:
                         lengths[block.path] = lengths.get(block.path, 0) + len(block.text) - block.linked
-                wanted = set(content_slots(list(lengths), volume, lengths))
+                wanted = set(content_slots(list(lengths), volume, lengths, excluded, is_marked))
                 kept = [block.text for block in blocks if block.path in wanted]
                 texts.append("\n".join(kept))
                 counts.append(len(kept))

@@ -1,9 +1,13 @@
 """Every operator against a plain version, over nulls, empty and long texts, copies, ties and
 clashing columns, and over empty tables."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import brute
 import pytest
@@ -332,3 +336,47 @@ def test_every_slot_of_a_wrapper_stands_in_a_page():
             paths |= {block.path for block in blocks}
             whole = html.fold(stream) if whole is None else html.align(whole, html.fold(stream))
         assert set(html.slots(whole)) == paths
+
+
+def test_alignment_is_a_longest_one_at_any_length(monkeypatch):
+    draw = random.Random(8)
+    for cells in (1 << 30, 50, 1):
+        monkeypatch.setattr(html, "CELLS", cells)
+        for _ in range(150):
+            p, q = (draw.choices(range(4), k=draw.randint(0, 30)) for _ in range(2))
+            moves = html._moves(p, q)
+            length = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
+            for i, x in enumerate(p):
+                for j, y in enumerate(q):
+                    length[i + 1][j + 1] = length[i][j] + 1 if x == y else max(length[i][j + 1], length[i + 1][j])
+            left, right = ([k for k, move in enumerate(moves) if move != other] for other in "><")
+            assert len(left) == len(p) and len(right) == len(q)
+            both = [k for k, move in enumerate(moves) if move == "="]
+            assert [p[left.index(k)] for k in both] == [q[right.index(k)] for k in both]
+            assert len(both) == length[-1][-1]
+
+
+def test_alignment_of_long_irregular_pages():
+    draw = random.Random(9)
+
+    def page():
+        return "<body>" + "".join(f"<p class=c{draw.randint(0, 300)}>t</p>" for _ in range(7000)) + "</body>"
+
+    streams = [html.parse(page()) for _ in range(2)]
+    whole = html.align(*(html.fold(stream) for stream, _ in streams))
+    assert set(html.slots(whole)) == {block.path for _, blocks in streams for block in blocks}
+
+
+def test_html_on_workers_without_the_package(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(html.__file__).parents[2])!r})
+from cohortmill.llm import html
+from cohortmill.session import build_session
+spark = build_session("2", 2, **{{"spark.sql.warehouse.dir": {str(tmp_path)!r}}})
+pages = spark.createDataFrame([(1, "http://a.org/", "<body><article><p>the text</p></article></body>")], "page_id long, url string, html string")
+print("got", [r.text for r in html.extract(pages).collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "got ['the text']" in done.stdout, done.stderr[-2000:]
