@@ -17,12 +17,14 @@ Benchmark items are the queries; every passage of every document is searched for
 5. A candidate is a leak if the longest common subsequence of words covers ``VERBATIM`` of the item,
    or, for a paraphrase, ``PARAPHRASE`` of it and ``ANSWER`` of its end, where the answer stands.
 
-Items are taken in blocks of ``ITEMS``, which bounds the vocabulary whatever the size of the
-benchmark; every block is searched for in all documents.
+Items are taken in blocks of at most ``ITEMS`` items and ``TERMS`` different words, which bounds the
+vocabulary whatever the size of the benchmark; every block is searched for in all documents. An item
+with more words than that is a block of its own, with wider ids.
 
 Words are compared in lower case and without ASCII punctuation. Defined results: a null or empty
 text leaks nothing, an item without words is found nowhere; repeated rows are reported once per
-doc_id and text; a null item_id is an item like any other. Other columns are not read. Empty tables
+doc_id and text for every item; items with one item_id, or without any, but different texts are items
+of their own. Other columns are not read. Empty tables
 give no row.
 """
 
@@ -42,6 +44,7 @@ from pyspark.sql import types as T
 from .common import scratch_table, whole
 
 ITEMS = 4000
+TERMS = (1 << 16) - 1  # what 16-bit ids can tell apart, beside 0 for any other word
 BLOCK = 8
 SHORTEST = 2  # blocks of the shortest window; longer ones double
 RANK, SKIP, OVERSAMPLE = 128, 8, 16
@@ -100,8 +103,29 @@ class Item:
         return None
 
 
+def _id_type(size: int) -> type:
+    """Numbers for the words of a vocabulary and 0."""
+    return np.uint16 if size <= TERMS + 1 else np.uint32
+
+
+def _blocks(items: list[tuple[object, int, list[bytes]]]) -> Iterator[tuple[list[tuple], dict[bytes, int]]]:
+    """Items in turn, in as few blocks as ``TERMS`` allows, each with the numbers of its words."""
+    held: list[tuple] = []
+    vocabulary: dict[bytes, int] = {}
+    for item in items:
+        fresh = set(item[2]).difference(vocabulary)
+        if held and len(vocabulary) + len(fresh) > TERMS:
+            yield held, vocabulary
+            held, vocabulary = [], {}
+        held.append(item)
+        for word in item[2]:
+            vocabulary.setdefault(word, len(vocabulary) + 1)
+    yield held, vocabulary
+
+
 def _encoded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """``doc_id, mark, ids``: the words of every text that has any, as 16-bit ids."""
+    """``doc_id, mark, ids``: the words of every text that has any, as ids."""
+    kind = _id_type(len(vocabulary) + 1)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            T.StructField("mark", T.LongType()), T.StructField("ids", T.BinaryType())])
@@ -112,15 +136,16 @@ def _encoded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
             ids = []
             for text in batch.column(2).to_pylist():
                 words = words_of(text)
-                ids.append(np.fromiter(map(number, words, repeat(0)), np.uint16, len(words)).tobytes())
+                ids.append(np.fromiter(map(number, words, repeat(0)), kind, len(words)).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "mark", "ids"])
 
     return docs.select("doc_id", F.xxhash64(whole("text")).alias("mark"), "text").mapInArrow(encode, schema)
 
 
-def _id_arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column(batch.schema.get_field_index("ids"))]
+def _id_arrays(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
+    kind = _id_type(size)
+    return [np.frombuffer(x.as_buffer(), kind) for x in batch.column(batch.schema.get_field_index("ids"))]
 
 
 def _frequencies(encoded: DataFrame, size: int) -> np.ndarray:
@@ -128,7 +153,7 @@ def _frequencies(encoded: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for ids in _id_arrays(batch):
+            for ids in _id_arrays(batch, size):
                 present = np.zeros(size, dtype=bool)
                 present[ids] = True
                 total[:size] += present
@@ -197,7 +222,7 @@ def _moments(encoded: DataFrame, weights: np.ndarray, test: np.ndarray) -> np.nd
         weighted = (random * weight[:, None]).astype(np.float32)
         total = np.zeros((size, width))
         for batch in batches:
-            for _, _, parts in _slices(_id_arrays(batch)):
+            for _, _, parts in _slices(_id_arrays(batch, size)):
                 flat, passage, owner, _ = _blocked(parts, 4 * BLOCK)
                 known = np.flatnonzero(flat)
                 flat, passage = flat[known], passage[known]
@@ -235,14 +260,17 @@ def latent_basis(encoded: DataFrame, weights: np.ndarray, rank: int = RANK, skip
     """Leading right singular vectors of the passage-term matrix but the very first, vocabulary x rank."""
     size = len(weights)
     width = min(size, skip + rank + OVERSAMPLE)
-    skip = skip if width == skip + rank + OVERSAMPLE else 0  # a vocabulary this small is kept whole
     test, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((size, width)))
     sketch = _moments(encoded, weights, test)
     shift = 1e-9 * max(float(np.linalg.norm(sketch)), 1e-9)
     sketch = sketch + shift * test
     core = test.T @ sketch
-    factor = np.linalg.cholesky((core + core.T) / 2 + 1e-12 * np.eye(width))
-    vectors, _, _ = np.linalg.svd(np.linalg.solve(factor, sketch.T).T, full_matrices=False)
+    values, turned = np.linalg.eigh((core + core.T) / 2)
+    # Below this there is nothing but rounding: passages that span few directions give fewer.
+    sound = values > 1e-6 * values[-1]
+    vectors, _, _ = np.linalg.svd(sketch @ (turned[:, sound] / np.sqrt(values[sound])), full_matrices=False)
+    if vectors.shape[1] < skip + rank + OVERSAMPLE:
+        skip = 0  # a vocabulary or corpus this small is kept whole
     return vectors[:, skip:skip + rank]
 
 
@@ -256,7 +284,7 @@ def _search(encoded: DataFrame, items: list[tuple], weights: np.ndarray, basis:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given, vectors = shared.value
-        made = [Item(item_id, ids) for item_id, ids in given]
+        made = [Item(item_id, ids) for item_id, _, ids in given]
         scaled = {}
         for scale in sorted({item.scale for item in made}):
             numbers = [i for i, item in enumerate(made) if item.scale == scale]
@@ -272,7 +300,7 @@ def _search(encoded: DataFrame, items: list[tuple], weights: np.ndarray, basis:
         longest = max(scaled, default=SHORTEST) * BLOCK + 2 * outer
         for batch in batches:
             best: dict[tuple[int, int], tuple] = {}
-            for docs, firsts, parts in _slices(_id_arrays(batch), longest):
+            for docs, firsts, parts in _slices(_id_arrays(batch, len(vectors)), longest):
                 flat, block, owner, first = _blocked(parts, BLOCK)
                 known = np.flatnonzero(flat)
                 sums, reach = _summed(vectors[flat[known]], block[known], len(owner)), 1
@@ -322,39 +350,37 @@ def _search(encoded: DataFrame, items: list[tuple], weights: np.ndarray, basis:
 
     spark = encoded.sparkSession
     names = spark.createDataFrame(
-        [(i, item_id) for i, (item_id, _) in enumerate(items)],
-        T.StructType([T.StructField("number", T.LongType()), T.StructField("item_id", item_type)]))
+        [(i, item_id, item_mark) for i, (item_id, item_mark, _) in enumerate(items)],
+        T.StructType([T.StructField("number", T.LongType()), T.StructField("item_id", item_type),
+                      T.StructField("item_mark", T.LongType())]))
     return encoded.mapInArrow(search, schema).join(F.broadcast(names), "number").select(
-        "doc_id", "mark", "item_id", "place", "share", "kind").dropDuplicates(["doc_id", "mark", "item_id"])
+        "doc_id", "mark", "item_id", "item_mark", "place", "share", "kind").dropDuplicates(
+        ["doc_id", "mark", "item_id", "item_mark"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """``doc_id, mark, item_id, place, share, kind``: every item found in a document.
+    """``doc_id, mark, item_id, item_mark, place, share, kind``: every item found in a document.
 
     ``place`` is the word where the window begins, ``share`` the part of the item found there and
-    ``mark`` a hash of the text.
+    ``mark`` and ``item_mark`` are hashes of the texts.
     """
-    items = benchmark.select("item_id", "text")
+    items = benchmark.select("item_id", whole("text").alias("text")).distinct()
     blocks = -(-max(items.count(), 1) // ITEMS)
     item_type = benchmark.schema["item_id"].dataType
     found = []
     for block in range(blocks):
         # At most about ITEMS rows: a hash deals the items out evenly.
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        worded = [(row["item_id"], words) for row in part if (words := words_of(row["text"]))]
-        vocabulary: dict[bytes, int] = {}
-        for _, words in worded:
-            for word in words:
-                vocabulary.setdefault(word, len(vocabulary) + 1)
-        if len(vocabulary) >= 1 << 16:
-            raise ValueError("a block of items has more than 65,535 words; lower ITEMS")
-        encoded = scratch_table(_encoded(docs, vocabulary), "passages")
-        counts = _frequencies(encoded, len(vocabulary) + 1)
-        weights = np.log((1.0 + counts[-1]) / (1.0 + counts[:-1])) + 0.1
-        weights[0] = 0.0
-        basis = latent_basis(encoded, weights)
-        listed = [(item_id, [vocabulary[word] for word in words]) for item_id, words in worded]
-        found.append(_search(encoded, listed, weights, basis, item_type, cosine))
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").select(
+            "item_id", F.xxhash64("text").alias("item_mark"), "text").collect()
+        worded = [(row["item_id"], row["item_mark"], words) for row in part if (words := words_of(row["text"]))]
+        for held, vocabulary in _blocks(worded):
+            encoded = scratch_table(_encoded(docs, vocabulary), "passages")
+            counts = _frequencies(encoded, len(vocabulary) + 1)
+            weights = np.log((1.0 + counts[-1]) / (1.0 + counts[:-1])) + 0.1
+            weights[0] = 0.0
+            basis = latent_basis(encoded, weights)
+            listed = [(item_id, mark, [vocabulary[word] for word in words]) for item_id, mark, words in held]
+            found.append(_search(encoded, listed, weights, basis, item_type, cosine))
     return reduce(DataFrame.unionByName, found)
 
 

@@ -380,3 +380,24 @@ print("got", [r.text for r in html.extract(pages).collect()])
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "got ['the text']" in done.stdout, done.stderr[-2000:]
+
+
+def test_decontamination_keeps_items_apart_and_splits_wide_blocks(spark, monkeypatch):
+    draw = random.Random(12)
+    wide = [(10 + i, " ".join(f"v{i}n{k}" for k in range(350))) for i in range(200)]  # 70,000 words
+    other = ITEM.replace("fox", "wolf").replace("wizards", "witches").replace("rivers", "lakes")
+    items = spark.createDataFrame([(1, ITEM), (1, other[::-1]), (None, ITEM), *wide], "item_id long, text string")
+    prose = [(i, " ".join(f"w{draw.randint(0, 400)}" for _ in range(120))) for i in range(40)]
+    planted = [(100, f"{prose[0][1]} {ITEM}"), (101, f"{other[::-1]} {prose[1][1]}"), (102, f"{prose[2][1]} {wide[7][1]}"),
+               (103, wide[199][1]), (102, f"{prose[2][1]} {wide[7][1]}")]
+    table = brute.docs(spark, prose + planted)
+    want = [(100, 1), (100, None), (101, 1), (102, 17), (103, 209)]
+    found = sorted(((r.doc_id, r.item_id) for r in decontam.leaks(table, items).collect()), key=str)
+    assert found == sorted(want, key=str)
+    both = spark.createDataFrame([(1, f"{ITEM} {other[::-1]}"), (100, None)], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.leaks(both, items.where("item_id = 1")).collect()] == [(1, 1)] * 2
+    # One item with more words than 16 bits tell apart.
+    monkeypatch.setattr(decontam, "TERMS", 100)
+    assert len(list(decontam._blocks([(i, 0, [w.encode() for w in t.split()]) for i, t in wide[:5]]))) == 5
+    assert sorted(((r.doc_id, r.item_id) for r in decontam.leaks(
+        table, items.where("item_id in (1, 17)")).collect()), key=str) == [(100, 1), (101, 1), (102, 17)]
