@@ -51,6 +51,8 @@ RANK, SKIP, OVERSAMPLE = 128, 8, 16
 COSINE, PROJECTION = 0.45, 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 SLICE = 1 << 14  # words whose vectors are held at once: they fit a core's cache
+FREQUENT = 128  # words that are multiplied as a dense matrix
+TURNS = 4 * BLOCK  # rows of one sum that are added along with those of all others
 CELLS = 1 << 22  # words of candidates that are compared at once
 
 # Lower case and blanks for punctuation, on UTF-8 bytes.
@@ -203,18 +205,35 @@ def _blocked(parts: list[np.ndarray], block: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(parts), first[stretch] + within // block, np.repeat(np.arange(len(parts)), counts), first
 
 
-def _summed(rows: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
-    """Sums of rows with the same key; keys are in order."""
-    out = np.zeros((size, rows.shape[1]), rows.dtype)
-    if len(keys):
-        edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        out[keys[edges]] = np.add.reduceat(rows, edges, axis=0)
+def _summed(source: np.ndarray, picked: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the ``picked`` rows of ``source`` with the same key; keys are in order.
+
+    The first row of every key is added, then the second of every key that has one, and so on: whole
+    rows at a time. What a key has beyond ``TURNS`` rows is summed key by key.
+    """
+    out = np.zeros((size, source.shape[1]), source.dtype)
+    if not len(keys):
+        return out
+    edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    counts = np.diff(np.append(edges, len(keys)))
+    for turn in range(min(int(counts.max()), TURNS)):
+        at = edges if turn == 0 else edges[counts > turn] + turn
+        out[keys[at]] += source[picked[at]]
+    for edge, count in zip(edges[counts > TURNS], counts[counts > TURNS], strict=True):
+        out[keys[edge]] += source[picked[edge + TURNS:edge + count]].sum(axis=0)
     return out
 
 
 def _moments(encoded: DataFrame, weights: np.ndarray, test: np.ndarray) -> np.ndarray:
-    """``A'A W`` over all passages of 32 words, ``A`` their normalised TF-IDF rows."""
+    """``A'A W`` over all passages of 32 words, ``A`` their normalised TF-IDF rows.
+
+    The ``FREQUENT`` words in most documents make up half of a text: they are counted per passage and
+    multiplied as one small dense matrix, all others are summed word by word.
+    """
     size, width = test.shape
+    frequent = np.argsort(weights[1:], kind="stable")[:FREQUENT] + 1
+    spots = np.full(size, -1)
+    spots[frequent] = np.arange(len(frequent))
     shared = encoded.sparkSession.sparkContext.broadcast((weights, test))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,13 +246,17 @@ def _moments(encoded: DataFrame, weights: np.ndarray, test: np.ndarray) -> np.nd
                 known = np.flatnonzero(flat)
                 flat, passage = flat[known], passage[known]
                 squares = np.bincount(passage, weight[flat] ** 2, len(owner))
-                rows = _summed(weighted[flat], passage, len(owner))
+                spot = spots[flat]
+                common, other = np.flatnonzero(spot >= 0), np.flatnonzero(spot < 0)
+                counts = np.bincount(passage[common] * len(frequent) + spot[common], minlength=len(owner) * len(frequent))
+                counts = counts.reshape(len(owner), len(frequent)).astype(np.float32)
+                flat, passage = flat[other], passage[other]
+                rows = _summed(weighted, flat, passage, len(owner)) + counts @ weighted[frequent]
                 rows /= np.maximum(squares, 1e-6)[:, None].astype(np.float32)
+                total[frequent] += counts.T @ rows
                 order = np.argsort(flat, kind="stable")
-                terms = flat[order]
-                if len(terms):
-                    edges = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
-                    total[terms[edges]] += np.add.reduceat(rows[passage[order]], edges, axis=0)
+                terms, numbers = np.unique(flat[order], return_inverse=True)
+                total[terms] += _summed(rows, passage[order], numbers, len(terms))
         total *= weight[:, None]
         terms = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -303,7 +326,7 @@ def _search(encoded: DataFrame, items: list[tuple], weights: np.ndarray, basis:
             for docs, firsts, parts in _slices(_id_arrays(batch, len(vectors)), longest):
                 flat, block, owner, first = _blocked(parts, BLOCK)
                 known = np.flatnonzero(flat)
-                sums, reach = _summed(vectors[flat[known]], block[known], len(owner)), 1
+                sums, reach = _summed(vectors, flat[known], block[known], len(owner)), 1
                 padded = np.concatenate([np.zeros(outer, flat.dtype), flat, np.zeros(longest, flat.dtype)])
                 begins = np.searchsorted(block, np.arange(len(owner)))
                 for scale in scaled:
@@ -316,9 +339,8 @@ def _search(encoded: DataFrame, items: list[tuple], weights: np.ndarray, basis:
                     numbers, latent, least, member, needed = scaled[scale]
                     starts = np.flatnonzero((np.arange(len(owner)) - first[owner]) % max(1, scale // 8) == 0)
                     sought = sums if len(starts) == len(sums) else sums[starts]
-                    along = sought @ latent
-                    near = (along >= least) & (along >= cosine * np.linalg.norm(sought, axis=1)[:, None])
-                    rows, columns = np.nonzero(near)
+                    least_along = np.maximum(least, cosine * np.linalg.norm(sought, axis=1)[:, None])
+                    rows, columns = np.nonzero(sought @ latent >= least_along)
                     # The window and a margin, of which words of neighbouring texts are blanked.
                     margin = _margin(scale)
                     span = np.arange(scale * BLOCK + 2 * margin)
