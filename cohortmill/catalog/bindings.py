@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import AnalysisWindow, MartConfig, TableConfig, Tier
 from ..operators.cleaning import attendance_days, clean_users
@@ -15,6 +16,7 @@ from ..operators.clusters import ClusterModel, score
 from ..operators.profile import activity_summary, general_users, user_profile
 from ..operators.sketches import active_user_weeks
 from ..operators.timeseries import user_weeks
+from ..schemas import Contract
 from ..session import ensure_session
 from ..sources.files import FileSource, read_table, zoned
 
@@ -215,3 +217,6 @@ class Bound:
 
 
 EVENTS = TableConfig("events", "ts", "event_id")
+USER_POINTS = Contract(
+    "user_points", T.StructType([T.StructField("user_id", T.LongType(), False), T.StructField("point", T.LongType())]),
+    key=("user_id",))

@@ -454,6 +454,9 @@ FROM profile WHERE user_type = 'General'"""),
         "mart_refit": _with(
             *people, select="SELECT user_id, CAST(user_id % 6 AS TINYINT) AS cluster FROM profile WHERE user_type = 'General'"),
         "mart_refresh": _with(*super_runs, select=f"SELECT {SUPER_COLUMNS} FROM profile_late WHERE user_type = 'Super'"),
+        "bucketed_upsert": _with(USERS, _clean(), select="""SELECT user_id, CAST(point AS BIGINT)
+  + CASE WHEN user_id % 101 = 0 AND user_id % 14 <> 0 THEN 1 ELSE 0 END AS point
+FROM clean WHERE user_id % 14 = 0 OR (user_id % 103 <> 0 AND (user_id % 7 <> 0 OR user_id % 101 = 0))"""),
         "replica_reconciled": _with(USERS, _clean(), select="""SELECT user_id, CASE WHEN user_id % 101 = 0 THEN 'lost'
     WHEN user_id % 107 = 0 THEN 'doubled' ELSE 'changed' END AS fault, 1::BIGINT AS source_rows,
   CASE WHEN user_id % 101 = 0 THEN 0 WHEN user_id % 107 = 0 THEN 2 ELSE 1 END::BIGINT AS copy_rows

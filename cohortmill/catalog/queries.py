@@ -19,10 +19,11 @@ from ..plans.mart import append_new, update_clusters, update_super_users
 from ..plans.reconcile import reconcile
 from ..schemas import CLUSTERS, SUPER_USERS, TIMESERIES, conform
 from ..session import scratch_dir
+from ..sources import BucketedTable
 from ..sources.store import TableStore
 from ..streaming import current_votes, run_vote_stream
 from . import bindings as b
-from .bindings import Bound
+from .bindings import USER_POINTS, Bound
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -435,6 +436,17 @@ def replica_reconciled(t):
     return reconcile(t.clean, t.faulty_copy, ["user_id"])
 
 
+@query
+def bucketed_upsert(t):
+    """Profiles in buckets of the key after an update of a hundredth, a batch with new users and a departure."""
+    mart = BucketedTable(_store(t, "buckets"), USER_POINTS, buckets=32)
+    users = t.clean.select("user_id", F.col("point").cast("bigint").alias("point"))
+    mart.upsert(users.where("user_id % 7 <> 0"), "first")
+    mart.upsert(users.where("user_id % 101 = 0").withColumn("point", F.col("point") + 1), "changed")
+    mart.upsert(users.where("user_id % 14 = 0"), "new", gone=users.where("user_id % 103 = 0"))
+    return mart.read()
+
+
 @query
 def timeseries_append(t):
     """Time series after two runs: a week written while it was running stays as it was."""

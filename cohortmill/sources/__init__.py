@@ -1,7 +1,8 @@
 """Where tables are read from and written to."""
 
+from .buckets import BucketedTable
 from .files import FileSource, read_table
 from .jdbc import JdbcSource
 from .store import Batch, TableStore
 
-__all__ = ["Batch", "FileSource", "JdbcSource", "TableStore", "read_table"]
+__all__ = ["Batch", "BucketedTable", "FileSource", "JdbcSource", "TableStore", "read_table"]
