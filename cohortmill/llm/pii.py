@@ -8,10 +8,12 @@ reveals ``REMOVE`` goes, wherever it stands in a text with that entity. Counts c
 and all of them are counts of distinct texts: neither copies of a text nor repeats inside one change
 what is disclosed. What stands inside an email is no term.
 
-An entity and a term must share ``SUPPORT`` texts. An entity in fewer texts is rare: counts cannot
-tell its terms from chance, as every word that only its texts hold would reveal all of it. Its terms
-are those that no other text holds and that stand within ``REACH`` of it in each of its texts, on
-whatever line; they go.
+An entity and a term must share ``SUPPORT`` texts, or all texts of an entity that has fewer. So an
+entity of one text is judged by the same estimate: a term that n of N texts hold reveals
+1 - ln n / ln N of it. The terms of a text are its whole text's, however far from the entity.
+
+Entities that the same texts hold have the same counts with every term, so they are judged as one:
+a list of ten thousand numbers costs what one number costs.
 
 All of it is column expressions. Spark's regular expressions give matches but not where they are;
 positions come from the lengths of the matches and of the gaps between them (``split`` by the same
@@ -34,8 +36,8 @@ from .common import scratch_table, sha256, whole
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalised", "removed")
-REACH = 80  # code points on either side of a rare entity, whatever the line
-SUPPORT = 3  # distinct texts that must show an entity and a term together
+SUPPORT = 3  # distinct texts that must show an entity and a term together, where the entity has so many
+BLOCK = 512  # matches that are put together at a time
 GENERALISE, REMOVE = 0.6, 0.9
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -48,15 +50,16 @@ _PATTERNS = {
 # What a text must contain for a pattern to be worth trying.
 _HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_WORD = r"[\p{L}\p{N}_'-]"
 _TERM = r"\p{L}[\p{L}\p{N}_'-]{2,}+"
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
 def _located(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
-    """All matches, or those with a value to ``keep``, leftmost first, as ``start, end, value``."""
-    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-                          F.split(text, pattern, -1).alias("gap"))
+    """All matches, or those with a value to ``keep``, leftmost first, as ``start, end, value``.
+
+    Positions are summed inside blocks of matches first, then over the blocks, so that no array of
+    all matches so far is copied with each match.
+    """
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("out"))
 
     def step(acc: Column, piece: Column) -> Column:
@@ -67,7 +70,21 @@ def _located(text: Column, pattern: str, keep: Callable[[Column], Column] | None
         # The last gap has no match behind it.
         return F.when(piece["hit"].isNull(), acc).otherwise(F.struct(end.alias("at"), out.alias("out")))
 
-    return F.aggregate(pieces, begin, step, lambda acc: acc["out"])
+    def append(acc: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda m: F.struct(
+            (acc["at"] + m["start"]).alias("start"), (acc["at"] + m["end"]).alias("end"), m["value"].alias("value")))
+        return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    def joined_up(pieces: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(1), F.size(pieces), F.lit(BLOCK)),
+                             lambda first: F.aggregate(F.slice(pieces, first, BLOCK), begin, step))
+        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_SPANS}>").alias("out"))
+        return F.flatten(F.aggregate(blocks, start, append, lambda acc: acc["out"]))
+
+    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
+                          F.split(text, pattern, -1).alias("gap"))
+    # As an argument of a function the pieces are worked out once.
+    return F.get(F.transform(F.array(pieces), joined_up), F.lit(0))
 
 
 def _luhn(digits: Column) -> Column:
@@ -103,30 +120,14 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(_TERM), F.lit(0)), lambda t: F.lower(t)))
 
 
-def _around(text: Column, spans: Column) -> Column:
-    """Per span: the entity, and what stands within reach, left and right, but words that reach cuts."""
-    def context(span: Column) -> Column:
-        first = F.greatest(span["start"] - REACH, F.lit(0))
-        left = F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int"))
-        right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH))
-        return F.struct(
-            F.lower(span["value"]).alias("entity"),
-            F.when(first > 0, F.regexp_replace(left, f"^{_WORD}++", "")).otherwise(left).alias("left"),
-            F.when(span["end"] + REACH < F.length(text), F.regexp_replace(right, f"(?<!{_WORD}){_WORD}++$", "")).otherwise(
-                right).alias("right"))
-
-    return F.transform(spans, context)
-
-
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash``, one array of matches per kind, the contexts of all of them, and the terms
-    of a text that has any, with that text."""
+    """``doc_id, text_hash``, one array of matches per kind, the different entities, and the text if it has any."""
     text = docs.select("doc_id", whole("text").alias("text"))
     found = text.select("*", *[_matches(F.col("text"), kind).alias(kind) for kind in KINDS])
-    held = F.size(F.concat(*KINDS)) > 0
+    matches = F.concat(*KINDS)
     return found.select("doc_id", F.xxhash64("text").alias("text_hash"), *KINDS,
-                        _around(F.col("text"), F.concat(*KINDS)).alias("contexts"),
-                        F.when(held, _terms(F.col("text"))).alias("terms"), F.when(held, F.col("text")).alias("text"))
+                        F.array_distinct(F.transform(matches, lambda m: F.lower(m["value"]))).alias("entities"),
+                        F.when(F.size(matches) > 0, F.col("text")).alias("text"))
 
 
 def _term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -138,57 +139,65 @@ def _term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
         "term").agg(F.round(F.sum("share")).cast("bigint").alias("n_term"))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, holders: DataFrame, support: int = SUPPORT,
+def _holders(held: DataFrame) -> DataFrame:
+    """``text_hash, n_entity, set_a, set_b``: per text the sets of texts whose entities it holds.
+
+    A set is named by its size and two order-free hashes; of one text, by that text alone.
+    """
+    entities = held.select("text_hash", F.explode("entities").alias("entity"))
+    sets = scratch_table(entities.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_entity"), F.bit_xor("text_hash").alias("set_a"),
+        F.bit_xor(F.xxhash64("text_hash", F.lit(1))).alias("set_b")), "entities")
+    alone = sets.where("n_entity = 1").select(F.col("set_a").alias("text_hash"), "n_entity", "set_a", "set_b")
+    shared = entities.join(sets.where("n_entity > 1"), "entity").drop("entity")
+    return alone.unionByName(shared).distinct()
+
+
+def disclosures(docs: DataFrame, found: DataFrame, held: DataFrame, support: int = SUPPORT,
                 least: float = GENERALISE) -> DataFrame:
-    """``entity, term, disclosed`` for the pairs that reveal at least the share ``least``.
+    """``text_hash, term, disclosed`` for the terms of a text that reveal at least the share ``least``
+    of one of its entities.
 
-    ``found`` holds the contexts and terms of every document, ``holders`` the distinct ``text_hash,
-    entity, n_entity``. All four counts are of distinct texts.
+    ``found`` has a row per document, ``held`` each text with an entity once. All counts are of
+    distinct texts.
     """
     number = max(found.select("text_hash").distinct().count(), 2)
     total = math.log(number)
-    most = holders.agg(F.max("n_entity")).first()[0] or 1
-    # A term in more texts reveals too little of any entity.
-    limit = max(number ** (1 - least) * most ** least, support) + 0.5
-    terms = scratch_table(_term_counts(docs, found).where(F.col("n_term") <= limit), "terms")
-
-    common = holders.where(F.col("n_entity") >= support)
-    texts = found.join(common.select("text_hash").distinct(), "text_hash", "left_semi").select(
-        "text_hash", F.explode("terms").alias("term")).distinct().join(terms.where(F.col("n_term") >= support), "term")
-    pairs = common.join(texts, "text_hash").groupBy("entity", "n_entity", "term", "n_term").agg(
-        F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    mutual = F.log("n_both") + total - F.log("n_entity") - F.log("n_term")
+    holders = scratch_table(_holders(held), "holders")
+    # Even if all texts with the term have the entity, one in more texts reveals too little.
+    limit = float(number) ** (1 - least) * F.pow(F.col("n_entity").cast("double"), F.lit(least)) + 0.5
+    most = holders.agg(F.max(limit)).first()[0] or 0.0
+    terms = _term_counts(docs, found).where(F.col("n_term") <= most)
+    known = scratch_table(held.select("text_hash", F.explode(_terms(F.col("text"))).alias("term")).join(terms, "term"), "known")
+
+    pairs = holders.join(known, "text_hash").where(F.col("n_term") <= limit)
     information = total - F.log("n_entity")
+    mutual = F.log("n_both") + total - F.log("n_entity") - F.log("n_term")
     share = F.when(information > 0, F.least(mutual / information, F.lit(1.0))).otherwise(0.0)
-    judged = pairs.select("entity", "term", share.alias("disclosed")).where(F.col("disclosed") >= least)
 
-    near = found.where(F.size("contexts") > 0).select("text_hash", F.explode("contexts").alias("c")).select(
-        "text_hash", "c.entity", F.explode(F.array_union(_terms(F.col("c.left")), _terms(F.col("c.right")))).alias("term"))
-    rare = holders.where(F.col("n_entity") < support)
-    alone = near.distinct().join(rare, ["text_hash", "entity"]).groupBy("entity", "n_entity", "term").agg(
-        F.count(F.lit(1)).alias("n_both")).join(terms, "term").where("n_both = n_entity and n_term = n_entity")
-    return judged.unionByName(alone.select("entity", "term", F.lit(1.0).alias("disclosed")))
+    alone = pairs.where("n_entity = 1").withColumn("n_both", F.lit(1)).select("text_hash", "term", share.alias("disclosed"))
+    keys = ["n_entity", "set_a", "set_b", "term"]
+    shared = pairs.where("n_entity > 1")
+    judged = shared.groupBy(*keys, "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(
+        F.col("n_both") >= F.least(F.lit(support), "n_entity")).select(*keys, share.alias("disclosed")).where(
+        F.col("disclosed") >= least)
+    return alone.where(F.col("disclosed") >= least).unionByName(
+        shared.join(judged, keys).select("text_hash", "term", "disclosed")).groupBy("text_hash", "term").agg(
+        F.max("disclosed").alias("disclosed"))
 
 
 def _revealing(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
     """``text_hash, added``: where terms stand that disclose an entity of the same text."""
-    entities = found.where(F.size("contexts") > 0).select("text_hash", F.explode("contexts.entity").alias("entity")).distinct()
-    holders = scratch_table(entities.join(
-        entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity"), "entities")
-    told = holders.join(disclosures(docs, found, holders, support), "entity").groupBy("text_hash", "term").agg(
-        F.max("disclosed").alias("disclosed")).groupBy("text_hash").agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "disclosed"))).alias("told"))
     # Only texts with an entity, each once: tasks fold copies before anything is shuffled.
-    texts = found.where(F.size("contexts") > 0).groupBy("text_hash").agg(F.first("text").alias("text"))
-    hits = _located(F.col("text"), _TERM, lambda hit: F.map_contains_key("told", F.lower(hit)))
-
-    def named(hit: Column) -> Column:
-        kind = F.when(F.element_at("told", F.lower(hit["value"])) >= REMOVE, 1).otherwise(0)
-        return F.struct(hit["start"].alias("start"), (F.lit(len(KINDS)) + kind).alias("order"),
-                        F.get(F.array(*map(F.lit, ADDED)), kind).alias("kind"), hit["end"].alias("end"))
-
-    return texts.join(scratch_table(told, "disclosing"), "text_hash").select(
-        "text_hash", F.transform(hits, named).alias("added"))
+    held = scratch_table(found.where(F.size("entities") > 0).groupBy("text_hash").agg(
+        F.first("text").alias("text"), F.first("entities").alias("entities")), "held")
+    told = scratch_table(disclosures(docs, found, held, support), "disclosing")
+    hits = held.select("text_hash", F.explode(_located(F.col("text"), _TERM)).alias("hit")).select(
+        "text_hash", F.lower("hit.value").alias("term"), "hit.start", "hit.end")
+    kind = F.when(F.col("disclosed") >= REMOVE, 1).otherwise(0)
+    return hits.join(told, ["text_hash", "term"]).groupBy("text_hash").agg(F.collect_list(F.struct(
+        "start", (F.lit(len(KINDS)) + kind).alias("order"), F.get(F.array(*map(F.lit, ADDED)), kind).alias("kind"), "end",
+    )).alias("added"))
 
 
 def _named(order: int, name: str) -> Column:

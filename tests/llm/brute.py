@@ -92,6 +92,42 @@ SECRETS = (
     ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 24))
 
 
+def disclosed(table, support, generalise, remove):
+    """(doc_id, spans) with the terms that reveal an entity, pair by pair over the distinct texts."""
+    texts = {text or "" for _, text in table}
+    base = {t: spans(t, PII)[1] for t in texts}
+    places = {t: [x.split(":") for x in base[t].split(",") if x] for t in texts}
+    mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    term = re.compile(r"[^\W\d_][\w'-]{2,}")
+    entities = {t: {t[int(a):int(b)].lower() for _, a, b in places[t]} for t in texts}
+    terms = {t: {m.group().lower() for m in term.finditer(mail.sub(" ", t))} for t in texts}
+    n_entity, n_term, n_both = Counter(), Counter(), Counter()
+    for t in texts:
+        n_entity.update(entities[t])
+        n_term.update(terms[t])
+        n_both.update((e, w) for e in entities[t] for w in terms[t])
+    total = math.log(len(texts))
+
+    def share(e, w):
+        if n_both[e, w] < min(support, n_entity[e]) or total <= math.log(n_entity[e]):
+            return 0
+        information = total - math.log(n_entity[e])
+        return (math.log(n_both[e, w]) + total - math.log(n_entity[e]) - math.log(n_term[w])) / information
+
+    out = {}
+    for t in texts:
+        order = {kind: i for i, (kind, _, _) in enumerate(PII)}
+        found = [(int(a), order[kind], kind, int(b)) for kind, a, b in places[t]]
+        taken = [(a, b) for a, _, _, b in found]
+        for m in term.finditer(t) if found else ():
+            most = max((share(e, m.group().lower()) for e in entities[t] if m.group().lower() in terms[t]), default=0)
+            if most >= generalise - 1e-12 and not any(a < m.end() and m.start() < b for a, b in taken):
+                kind = most >= remove - 1e-12
+                found.append((m.start(), len(order) + kind, "removed" if kind else "generalised", m.end()))
+        out[t] = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found))
+    return [(doc_id, out[text or ""]) for doc_id, text in table]
+
+
 def line_key(line):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
 

@@ -3,6 +3,7 @@ clashing columns, and over empty tables."""
 
 import os
 import random
+import re
 import subprocess
 import sys
 import zlib
@@ -100,10 +101,37 @@ def test_pii_terms_on_other_lines_and_of_rare_entities(spark):
               for i, spans in brute.collected(pii.digest(pii.find_spans(table)), "doc_id", "spans")}
     assert marked[60] == ["Zorbax", "zorbax"]
     assert all(marked[i] == ["Zorbax"] for i in (61, 62, 63))
-    assert marked[64] == ["Quendor", "Ltd"] and marked[65] == marked[66] == ["Vexley"]
+    assert marked[64] == ["Quendor", "Ltd", "Farrow"] and marked[65] == marked[66] == ["Vexley"]
     assert not any(marked[i] for i in range(60))
 
 
+def test_pii_estimate_equals_a_plain_one(spark, monkeypatch):
+    draw = random.Random(5)
+    pool = [f"term{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    mails = [f"user{i}@corp.org" for i in range(12)]
+    texts = [" ".join(pool[min(int(draw.expovariate(0.02)), 299)] for _ in range(12)) for _ in range(150)]
+    for i in range(0, 150, 2):  # from every second text down to one: common, shared and single entities
+        texts[i] += f" {mails[min(int(draw.expovariate(0.25)), 11)]} {mails[i % 3]} agent{chr(97 + i % 3)} Agent{chr(97 + i % 3)}"
+    texts[1] += " 10.0.0.1 10.0.0.2 10.0.0.3"  # three entities of one set of texts
+    table = list(enumerate(texts)) + [(500 + i, texts[2]) for i in range(40)] + [(None, texts[1]), (900, None), (901, "")]
+    frame = spark.createDataFrame(table, "doc_id long, text string")
+    monkeypatch.setattr(pii, "BLOCK", 5)
+    got = brute.collected(pii.find_spans(frame), "doc_id", pii.joined(pii.F.col("spans")))
+    want = brute.disclosed(table, pii.SUPPORT, pii.GENERALISE, pii.REMOVE)
+    assert got == sorted(want, key=repr)
+    kinds = [kind for _, spans in want for kind in re.findall("generalised|removed", spans)]
+    assert kinds.count("generalised") > 20 and kinds.count("removed") > 20
+    # The estimate decides: all but few of the terms beside entities stay.
+    beside = sum(len(text.split()) for _, text in table if text and "@" in text)
+    assert len(kinds) < beside / 2
+
+
+def test_pii_positions_of_very_many_matches(spark):
+    text = "\u00e9 " + " ".join(f"{i} w{i % 7}@corp.org" for i in range(20_000))
+    row = pii.find_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).select("email", "card").first()
+    assert [(m.start, m.end) for m in row.email] == [m.span() for m in re.finditer(r"w[0-9]@corp\.org", text)] and not row.card
+
+
 def test_secrets(docs, empty):
     out = secrets.digest(secrets.find_secrets(docs))
     got = brute.collected(out, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
