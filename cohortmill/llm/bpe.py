@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
 
@@ -196,11 +196,15 @@ Result = Callable[[Vocabulary], Callable[[np.ndarray], tuple]]
 
 
 def _apply(docs: DataFrame, tokenizer: str | None, fields: list[tuple[str, T.DataType, pa.DataType]],
-           result: Result) -> DataFrame:
-    """``row`` and what ``result`` makes of a text's ids."""
+           result: Result, carry: Sequence[str] | None) -> DataFrame:
+    """``row``, with the columns to ``carry`` (all unless given), and what ``result`` makes of a text's ids.
+
+    The text itself travels beside the row, so a caller that does not want it back leaves it out.
+    """
     spark = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(Vocabulary.read(tokenizer).parts)  # a few MB
-    rows = docs.select(F.struct("*").alias("row"), whole("text").alias("text"))
+    rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), whole("text").alias("text"))
+    row_type = rows.schema["row"].dataType
 
     def hashes(batch: pa.RecordBatch) -> np.ndarray:
         keys: list[bytes] = []
@@ -213,7 +217,7 @@ def _apply(docs: DataFrame, tokenizer: str | None, fields: list[tuple[str, T.Dat
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                          T.StructField("key", T.BinaryType())])
-    flagged_schema = T.StructType([T.StructField("row", docs.schema), T.StructField("text", T.StringType()),
+    flagged_schema = T.StructType([T.StructField("row", row_type), T.StructField("text", T.StringType()),
                                    T.StructField("shared", T.ArrayType(span))])
     span_arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("key", pa.binary())]))
 
@@ -263,7 +267,7 @@ def _apply(docs: DataFrame, tokenizer: str | None, fields: list[tuple[str, T.Dat
     mixed = sharing.join(lists, "text_key", "left").select("row", "text", "shared", F.coalesce("codes", empty).alias("codes"))
     plain = flagged.where(F.size("shared") == 0).select("row", "text", "shared", empty.alias("codes"))
 
-    schema = T.StructType([T.StructField("row", docs.schema), *[T.StructField(n, t) for n, t, _ in fields]])
+    schema = T.StructType([T.StructField("row", row_type), *[T.StructField(n, t) for n, t, _ in fields]])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, make = Encoder(Vocabulary(*vocabulary.value)), result(Vocabulary(*vocabulary.value))
@@ -285,13 +289,13 @@ def _apply(docs: DataFrame, tokenizer: str | None, fields: list[tuple[str, T.Dat
     return plain.mapInArrow(finish, schema).unionByName(mixed.mapInArrow(finish, schema))
 
 
-def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``row``, ``n_tokens`` and ``ids`` of every text."""
+def encode(docs: DataFrame, tokenizer: str | None = None, carry: Sequence[str] | None = None) -> DataFrame:
+    """``row`` (the columns to ``carry``, or all), ``n_tokens`` and ``ids`` of every text."""
     def result(vocabulary: Vocabulary) -> Callable[[np.ndarray], tuple]:
         return lambda ids: (len(ids), ids.astype(np.int32))
 
     return _apply(docs, tokenizer, [("n_tokens", T.LongType(), pa.int64()),
-                                    ("ids", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))], result)
+                                    ("ids", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))], result, carry)
 
 
 def decode(rows: DataFrame, tokenizer: str | None = None, ids: str = "ids") -> DataFrame:
@@ -322,8 +326,7 @@ def digest(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
         return make
 
-    narrow = docs.select("doc_id", "text")
-    return _apply(narrow, tokenizer, [("n_tokens", T.LongType(), pa.int64()),
-                                      ("ids_sha256", T.StringType(), pa.string()),
-                                      ("decoded_sha256", T.StringType(), pa.string())], result).select(
+    return _apply(docs, tokenizer, [("n_tokens", T.LongType(), pa.int64()),
+                                    ("ids_sha256", T.StringType(), pa.string()),
+                                    ("decoded_sha256", T.StringType(), pa.string())], result, ["doc_id"]).select(
         "row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

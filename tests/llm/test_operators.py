@@ -198,6 +198,28 @@ def test_bpe_equals_the_library_and_decodes(docs, empty):
     decoded = bpe.decode(encoded.select("row.doc_id", "ids"))
     assert brute.collected(decoded, "row.doc_id", "text") == sorted(((i, t or "") for i, t in ROWS), key=repr)
     assert brute.count(bpe.digest(empty)) == 0
+    # Whole rows, with names that clash with the operator's own, come back as they were.
+    whole_rows = brute.collected(bpe.encode(docs), "row.doc_id", "row.text", "row.shared", "ids")
+    assert whole_rows == sorted(
+        ((i, t, 5, library.encode(t or "", add_special_tokens=False).ids) for i, t in ROWS), key=repr)
+
+
+def test_bpe_digests_equal_the_library(docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_tokenizer())
+    draw = random.Random(11)
+    common = " ".join(f"shared{draw.randrange(500)} passage" for _ in range(1500))  # of many chunks
+    texts = [f"{i} {common[:9000 + i]} tail {draw.random()}" for i in range(6)]
+    texts += ["".join(draw.choices("aB1 \n\t.,'é漢😀\u0301\u00a0", k=400)) for _ in range(40)]
+    table = ROWS + list(enumerate(texts, 100))
+
+    def row(doc_id, text):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        return doc_id, len(ids), brute.sha(",".join(map(str, ids))), brute.sha(library.decode(ids, skip_special_tokens=False))
+
+    got = brute.collected(bpe.digest(brute.docs(docs.sparkSession, table)), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert got == sorted((row(*r) for r in table), key=repr)
 
 
 def test_chunks_that_documents_share_are_cut_alike():
@@ -213,6 +235,29 @@ def test_ngram_join(docs, empty):
     assert brute.count(ngrams.join(empty)) == 0
 
 
+def test_ngram_join_recall_by_similarity(spark):
+    """Planted pairs of known similarity; those close to the threshold are counted by themselves too."""
+    draw, rows, pairs = random.Random(17), [], []
+    for changed in range(1, 13):
+        for _ in range(25):
+            words = [f"w{draw.randrange(10 ** 6)}" for _ in range(draw.randrange(60, 400))]
+            other = list(words)
+            for place in draw.sample(range(len(words)), min(changed, len(words) // 40 + 1)):
+                other[place] = f"x{draw.randrange(10 ** 6)}"
+            a, b = (brute.shingles(" ".join(w)) for w in (words, other))
+            pairs.append((len(rows), len(rows) + 1, len(a & b) / len(a | b)))
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    got = {i: (links, group) for i, links, group in brute.collected(
+        ngrams.join(brute.docs(spark, rows)), "doc_id", "n_links", "group_id")}
+    near = [(i, j) for i, j, share in pairs if share >= ngrams.SIMILARITY]
+    edge = [(i, j) for i, j, share in pairs if ngrams.SIMILARITY <= share < 0.85]
+    assert len(near) > 100 and len(edge) > 20
+    for some in (near, edge):
+        found = sum(got[i] == (1, i) and got[j] == (1, i) for i, j in some)
+        assert found >= 0.99 * len(some)
+    assert all(got[i] == (0, i) for i, j, share in pairs if share < ngrams.SIMILARITY)
+
+
 def test_one_of_each_group_stays(docs):
     kept = ngrams.keep_one_of_each(docs)
     groups = {(g,) for *_, g in brute.similar(ROWS)}
