@@ -36,7 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of what is left."""
-    return bpe.encode(docs.select("doc_id", "text")).select("row.doc_id", "n_tokens", "ids")
+    return bpe.encode(docs, carry=["doc_id"]).select("row.doc_id", "n_tokens", "ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
