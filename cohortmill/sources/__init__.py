@@ -3,6 +3,7 @@
 from .buckets import BucketedTable
 from .files import FileSource, read_table
 from .jdbc import JdbcSource
+from .sink import JdbcSink
 from .store import Batch, TableStore
 
-__all__ = ["Batch", "BucketedTable", "FileSource", "JdbcSource", "TableStore", "read_table"]
+__all__ = ["Batch", "BucketedTable", "FileSource", "JdbcSink", "JdbcSource", "TableStore", "read_table"]
