@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import in_slices
+
 BITS = 26
 PROBES = 3
 CHUNK = 16
@@ -75,7 +77,7 @@ def twice_seen(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray],
     """
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = None
-        for batch in batches:
+        for batch in in_slices(batches):
             found = hashes(batch)
             if len(found):
                 pair = pair or Pair()

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .bloom import twice_seen
-from .common import scratch_table, whole
+from .common import in_slices, scratch_table, whole
 
 CHUNK_BITS = 11  # a boundary every 2 KB on average
 LEAST_CHUNK = 256
@@ -222,7 +222,7 @@ def _apply(docs: DataFrame, tokenizer: str | None, fields: list[tuple[str, T.Dat
     span_arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("key", pa.binary())]))
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             found, owner = [], []
             for number, text in enumerate(batch.column(1).to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..session import hadoop_path, scratch_dir, shared_dir
 
 WS = " \t\n\x0b\x0c\r"
+SLICE_BYTES = 2 << 20
 WS_RUN = r"[\x20\x09-\x0D]+"
 
 
@@ -74,6 +75,15 @@ def clear_scratch(spark: SparkSession) -> None:
     files.delete(location, True)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes, or one longer row: Python objects made of a
+    batch take ten times its bytes, and Spark's own batches grow to tens of megabytes."""
+    for batch in batches:
+        step = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def record_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """Runs of rows with equal keys, from batches sorted by them; each group as one table.
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bloom import twice_seen
-from .common import WS, scratch_table, whole
+from .common import WS, in_slices, scratch_table, whole
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -68,7 +68,7 @@ def suspects(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         T.StructField("key", T.StringType()), T.StructField("places", T.ArrayType(T.IntegerType()))])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             ids, marks, places, keys = [], [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 for key, numbers in _keys(text, min_chars).items():
@@ -128,7 +128,7 @@ def drop_repeated_lines(
         T.StructField("n_dropped", T.LongType()), T.StructField("text", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch.column(0).field("text").to_pylist()
             drops = batch.column(1).to_pylist()
             total, lost, kept = [], [], []

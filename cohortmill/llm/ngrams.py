@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bloom import twice_seen
-from .common import record_groups, scratch_table, whole
+from .common import in_slices, record_groups, scratch_table, whole
 from .graph import components
 
 SHINGLE = 5
@@ -39,7 +39,7 @@ SIMILARITY = 0.8
 RECALL = 0.9999  # of pairs exactly at the threshold; more similar ones are missed far more rarely
 ROWS = 4
 BLOCK = 400  # texts of a bucket that go to a task together, twice
-GROUP_BYTES = 4 << 20  # text hashed at once; the arrays for it take 30 times as much
+GROUP_BYTES = 2 << 20  # text hashed at once; the arrays for it take 30 times as much
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -148,7 +148,7 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
-        for batch in batches:
+        for batch in in_slices(batches):
             done = 0
             for group in _in_groups(batch.column(2).to_pylist()):
                 sets = shingler(group)
@@ -191,7 +191,7 @@ def _full_sets(docs: DataFrame, candidates: DataFrame, shingle: int) -> DataFram
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sent = Shingler(shingle), set()
-        for batch in batches:
+        for batch in in_slices(batches):
             for group in _in_groups(batch.column(0).to_pylist()):
                 sets = shingler(group)
                 keys = [_class_key(x) for x in sets]
