@@ -1,27 +1,26 @@
 """Spelling variants: words one edit apart, found by walking a trie of the vocabulary.
 
 Words that occur often enough are put into two tries, one of the words and one of the reversed words.
-A state is (word, position, node, edits). The frontier starts with one state per word and trie, at its
-first node behind the middle of the word: an edit lies in the later half of the word or of its reversal,
-so the first half can be matched exactly and the branches near the root are never tried. Level by level the frontier is
-joined with the edge table on the node. A state without an edit follows every edge that matches, and
-spends its edit at the first character that does not (replace, insert, delete); of all ways to align
-two words one edit apart one has its edit there. A state with its edit spent follows the edge that
-matches exactly. States at the end of their word, in a node that ends another one, are neighbours.
-
-Edges are compressed: a node is a prefix with two continuations or the end of a word, so the number of
-levels is that of branchings on a path and not the length of the longest word.
-Nodes are known by a polynomial hash of their prefix. Which prefixes are nodes is kept in a Bloom filter
-of fixed size, so edges are cut in one pass over the words without a join; a false alarm makes a node
-more for all words alike. The filter also thins the frontier: the word that a state with its edit spent
-can still reach is known, its hash follows from those of the node and of the rest, and a state whose
-word is no node is dropped. Neighbours are compared as texts in the end, so colliding hashes add none.
+A state is (word, position, node): a word at a node of its own path, no edit made yet. Where its path
+runs needs no join: which prefixes are nodes is known, so every word puts a state at each of its nodes
+from the middle on that leads anywhere. An edit lies in the later half of the word or of its reversal, so
+the first half is matched exactly and the branches near the root are never tried. The states are joined
+with the edge table on the node, and spend their edit on every edge that does not match (replace, insert,
+delete); of all ways to align two words one edit apart one has its edit there. From there on all letters
+must match, so a state with its edit spent has one way to go, and the hash of the node at its end follows
+from those of the edge's child and of the rest. If that is no node the state is dropped, else the words
+that end there are joined on it and are the neighbours.
+
+Edges are compressed: a node is a prefix with two continuations or the end of a word.
+Nodes are known by a polynomial hash of their prefix. Which prefixes are nodes, and which of those lead on, is
+kept in Bloom filters of fixed size, so edges are cut in one pass over the words without a join; a false alarm
+makes a node more for all words alike. Neighbours are compared as texts in the end, so colliding hashes add none.
 
 Hashes of all prefixes of a batch of words come from one running sum, since the factor has an inverse;
-a state sees by them whether it can follow an edge exactly, and letters are compared by Spark.
+whether an edge matches is compared by Spark, letter by letter.
 
-A node has as many edges as the alphabet has letters at most, in one row; adaptive execution splits a
-node with very many states. Each level is written to the shared folder.
+Adaptive execution splits a node with very many states or edges. A word is carried once for every
+node on the later half of its path that leads on.
 
 Defined results: a null text has no word; a null key draws as the empty key; repeated rows count each;
 no other column is read, so none can clash. An empty table gives no row. Of equal counts the word that
@@ -114,15 +113,21 @@ class Prefixes:
         return text, np.arange(len(text)) - first[text] + middles[text] - 1
 
 
+def _runs(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of texts with a bounded number of letters in all, or one longer text."""
+    ends, start = np.cumsum(np.concatenate([[0], sizes])), 0
+    while start < len(sizes):
+        end = max(int(np.searchsorted(ends, ends[start] + PIECE, "right")) - 1, start + 1)
+        yield slice(start, end)
+        start = end
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices with a bounded number of letters in the first column, or one longer word."""
     for batch in batches:
         texts = batch.column(0).to_pylist()
-        ends, start = np.cumsum([0, *map(len, texts)]), 0
-        while start < len(texts):
-            end = max(int(np.searchsorted(ends, ends[start] + PIECE, "right")) - 1, start + 1)
-            yield batch.slice(start, end - start), texts[start:end]
-            start = end
+        for part in _runs(np.fromiter(map(len, texts), np.int64, len(texts))):
+            yield batch.slice(part.start, part.stop - part.start), texts[part]
 
 
 def _sides(words: list[str]) -> Iterator[tuple[int, Prefixes, np.ndarray]]:
@@ -148,21 +153,23 @@ def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [_signed(prefixes.of(text, size)), pa.array(letters.astype(np.int32))], names=["node", "letter"])
 
 
-_EDGE = "node long, label string, child long, word string, n long"
-_STATE = "node long, text string, position int, edits int, side int, near string, near_n long"
+_EDGE = "node long, label string, child long"
+_STATE = "node long, text string, position int, side int"
+_SPENT = "goal long, text string, side int"
+_END = "goal long, near string, near_n long"
 
 
 def _nodes(known: DataFrame) -> DataFrame:
+    """``node, inner``: prefixes where paths part or words end, and whether any leads on from there."""
     letters = known.select("word").mapInArrow(_branches, "node long, letter int").groupBy("node").agg(
         F.min("letter").alias("low"), F.max("letter").alias("high"))
-    return letters.where("low = 0 or low <> high").select("node")
+    return letters.where("low = 0 or low <> high").select("node", (F.col("high") > 0).alias("inner"))
 
 
-def _edges(known: DataFrame, is_node: Seen) -> DataFrame:
-    """``node`` and ``edges``: by first letter what leads on from there, and the word that ends at the
-    child, if any; under no letter the word that ends at the node itself."""
+def _edges(known: DataFrame, is_node: Seen, is_inner: Seen) -> DataFrame:
+    """``node, label, child``; an empty label leads from a node where a word ends to itself."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, words in _pieces(batches):
+        for _, words in _pieces(batches):
             for _, prefixes, middles in _sides(words):
                 text, size = prefixes.later_half(middles)
                 hashes = prefixes.of(text, size)
@@ -170,26 +177,20 @@ def _edges(known: DataFrame, is_node: Seen) -> DataFrame:
                 text, size, hashes = text[held], size[held], hashes[held]
                 a = np.flatnonzero(text[1:] == text[:-1])
                 b, begin = a + 1, prefixes.starts[text]
-                last = np.flatnonzero(size == prefixes.sizes[text])
+                # A leaf leads nowhere.
+                last = np.flatnonzero((size == prefixes.sizes[text]) & is_inner.holds(hashes))
                 a, b = np.concatenate([a, last]), np.concatenate([b, last])
                 labels = [prefixes.joined[i:j] for i, j in zip(
                     (begin + size)[a].tolist(), (begin + size)[b].tolist(), strict=True)]
-                ending = pa.array(text[b], mask=size[b] != prefixes.sizes[text[b]])
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(hashes[a]), pa.array(labels, pa.string()), _signed(hashes[b]),
-                     batch.column(0).take(ending), batch.column(1).take(ending)],
-                    names=["node", "label", "child", "word", "n"])
+                    [_signed(hashes[a]), pa.array(labels, pa.string()), _signed(hashes[b])],
+                    names=["node", "label", "child"])
 
-    once = known.select("word", "n").mapInArrow(cut, _EDGE).groupBy("node", "child").agg(
-        F.max("label").alias("label"), F.max("word").alias("word"), F.max("n").alias("n"))
-    entry = F.struct(F.substring("label", 1, 1), F.struct("label", "child", "word", "n"))
-    # A leaf leads nowhere.
-    return once.groupBy("node").agg(F.collect_list(entry).alias("edges"), F.max("label").alias("any")).where(
-        "any <> ''").select("node", F.map_from_entries("edges").alias("edges"))
+    return known.select("word").mapInArrow(cut, _EDGE).groupBy("node", "child").agg(F.max("label").alias("label"))
 
 
-def _starts(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Words that share a prefix up to the middle share it up to the first node behind it."""
+def _starts(is_inner: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A state for every node of a word's path from the middle on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, words in _pieces(batches):
             for side, prefixes, middles in _sides(words):
@@ -197,97 +198,78 @@ def _starts(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 behind = size >= middles[text]
                 text, size = text[behind], size[behind]
                 hashes = prefixes.of(text, size)
-                held = np.flatnonzero(is_node.holds(hashes))
-                words_held, first = np.unique(text[held], return_index=True)  # the end of a word is a node
-                at, n = held[first], len(words_held)
-                yield _states(hashes[at], pa.array([word[::-1] for word in words] if side else words, pa.string()),
-                              size[at], np.zeros(n), np.full(n, side), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()))
+                held = np.flatnonzero(is_inner.holds(hashes))
+                text, size, hashes = text[held], size[held], hashes[held]
+                texts = pa.array([word[::-1] for word in words] if side else words, pa.string())
+                for part in _runs(prefixes.sizes[text]):
+                    n = len(text[part])
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(hashes[part]), texts.take(pa.array(text[part])), pa.array(size[part].astype(np.int32)),
+                         pa.array(np.full(n, side, np.int32))], names=["node", "text", "position", "side"])
 
     return run
 
 
-def _states(node: np.ndarray, text: pa.Array, position: np.ndarray, edits: np.ndarray, side: np.ndarray,
-            near: pa.Array, near_n: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [_signed(node), text, *(pa.array(c.astype(np.int32)) for c in (position, edits, side)), near, near_n],
-        names=[c.split()[0] for c in _STATE.split(", ")])
-
-
-def _ways() -> Column:
-    """The edges that a state may follow: one if its edit is spent, else all."""
-    onward = F.array(F.try_element_at("edges", F.substring("rest", 1, 1)))
-    return F.when(F.col("edits") == 1, onward).otherwise(F.map_values("edges"))
-
-
 def _hopeful() -> Column:
-    """Whether an edge can lead a state on. If it begins with the letter at hand only a look at all of
-    its letters tells; else what stands behind an edit there must match. The word that ends at the node
-    itself counts for a state with one letter to go."""
-    label, spent = F.col("edge.label"), F.col("edits") == 1
+    """Whether a state can spend its edit on an edge: the edge does not match, and if it begins with another
+    letter than the one at hand, what stands behind an edit there must match; if with the same, only a look
+    at all letters tells. An empty label, where a word ends, is for a state with one letter to go."""
+    label = F.col("label")
     tail, onward = F.substring(label, F.lit(2), F.length(label)), F.substring("rest", F.lit(2), F.length("rest"))
     behind = F.startswith("rest", tail) | ((F.col("rest") != "") & (F.startswith(onward, tail) | F.startswith(onward, label)))
     same = F.substring(label, 1, 1) == F.substring("rest", 1, 1)
-    return F.when(label == "", ~spent & (F.length("rest") == 1)).when(spent, F.startswith("rest", label)).otherwise(same | behind)
+    return F.when(label == "", F.length("rest") == 1).otherwise(~F.startswith("rest", label) & (same | behind))
 
 
-def _advance(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One level: from a state and the length of an edge to the states behind it. ``near`` is the word
-    that a finished state has found."""
+def _spend(is_node: Seen) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From a state and an edge that does not match to the nodes where the words it may reach end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _pieces(batches):
-            at, edits, side, width = (batch.column(i).to_numpy().astype(np.int64) for i in range(1, 5))
-            child = batch.column(5).to_numpy().view(np.uint64)
-            ends = batch.column(6).is_valid().to_numpy(zero_copy_only=False)
+            at, side, width = (batch.column(i).to_numpy().astype(np.int64) for i in range(1, 4))
+            child = batch.column(4).to_numpy().view(np.uint64)
             own = Prefixes(texts, side)
-            reach, row = at + width, np.arange(len(texts))
-            fits = reach <= own.sizes
-            exact = fits & (width > 0) & ((edits == 1) | (own.of(row, np.where(fits, reach, 0)) == child))
-            on, off = np.flatnonzero(exact), np.flatnonzero(~exact & (width > 0) & (edits == 0))
-            less = np.flatnonzero(width == 0)  # the last letter less
+            off, less = np.flatnonzero(width > 0), np.flatnonzero(width == 0)  # at a word's end: the last letter less
             # Another letter, a letter more, a letter less.
-            tries = [(off, reach[off] + step) for step in (0, -1, 1)]
-            state = np.concatenate([on, less, *(rows for rows, _ in tries)])
-            there = np.concatenate([reach[on], own.sizes[less], *(place for _, place in tries)])
-            now = np.concatenate([edits[on], np.ones(len(state) - len(on), np.int64)])
-            new = np.arange(len(state)) >= len(on) + len(less)
+            state = np.concatenate([less, off, off, off])
+            reach = at[off] + width[off]
+            there = np.concatenate([own.sizes[less], reach, reach - 1, reach + 1])
             inside = there <= own.sizes[state]
-            state, there, now, new = state[inside], there[inside], now[inside], new[inside]
-            over = (now == 1) & (there == own.sizes[state])
-            keep = np.where(over, ends[state], True)
-            doubt = np.flatnonzero(new & ~over)
-            keep[doubt] = is_node.holds(own.goal(state[doubt], there[doubt], child[state[doubt]]))
-            state, there, now, over = state[keep], there[keep], now[keep], over[keep]
-            found = pa.array(state, mask=~over)
-            yield _states(np.where(over, np.uint64(0), child[state]), batch.column(0).take(pa.array(state)), there, now,
-                          side[state], batch.column(6).take(found), batch.column(7).take(found))
+            state, there = state[inside], there[inside]
+            goals = own.goal(state, there, child[state])
+            held = np.flatnonzero(is_node.holds(goals))
+            yield pa.RecordBatch.from_arrays(
+                [_signed(goals[held]), batch.column(0).take(pa.array(state[held])),
+                 pa.array(side[state[held]].astype(np.int32))], names=["goal", "text", "side"])
 
     return run
 
 
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The node where each word ends, in both tries."""
+    for batch, words in _pieces(batches):
+        for _, prefixes, _ in _sides(words):
+            ends = prefixes.of(np.arange(len(words)), prefixes.sizes)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(ends), batch.column(0), batch.column(1)], names=["goal", "near", "near_n"])
+
+
 def neighbours(known: DataFrame) -> DataFrame:
     """``word, near, near_n``: every pair of words one edit apart, from both ends."""
     def node_hashes(batch: pa.RecordBatch) -> np.ndarray:
         return batch.column(0).to_numpy().view(np.uint64)
 
-    is_node = twice_seen(_nodes(known), node_hashes, times=1)
-    edges = scratch_table(_edges(known, is_node), "trie")
-    level = scratch_table(known.select("word").mapInArrow(_starts(is_node), _STATE), "frontier")
-    found, advance = None, _advance(is_node)
-    while True:
-        frontier = level.where("near is null")
-        if frontier.isEmpty():
-            break
-        rest = F.substring("text", F.col("position") + 1, F.length("text"))
-        met = frontier.withColumn("rest", rest).join(edges.hint("shuffle_hash"), "node").select(
-            "text", "position", "edits", "side", "rest", F.explode(_ways()).alias("edge")).where(_hopeful())
-        level = scratch_table(met.select(
-            "text", "position", "edits", "side", F.length("edge.label").alias("width"), "edge.child", "edge.word",
-            "edge.n").mapInArrow(advance, _STATE), "frontier")
-        done = level.where("near is not null").select(
-            F.when(F.col("side") == 1, F.reverse("text")).otherwise(F.col("text")).alias("word"), "near", "near_n")
-        found = done if found is None else found.unionByName(done)
-    if found is None:
-        return known.select("word", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
+    nodes = scratch_table(_nodes(known), "nodes")
+    is_node = twice_seen(nodes.select("node"), node_hashes, times=1)
+    is_inner = twice_seen(nodes.where("inner").select("node"), node_hashes, times=1)
+    edges = scratch_table(_edges(known, is_node, is_inner), "trie")
+    rest = F.substring("text", F.col("position") + 1, F.length("text"))
+    met = known.select("word").mapInArrow(_starts(is_inner), _STATE).join(edges.hint("shuffle_hash"), "node").withColumn(
+        "rest", rest).where(_hopeful())
+    spent = met.select("text", "position", "side", F.length("label").alias("width"), "child").mapInArrow(
+        _spend(is_node), _SPENT)
+    ends = known.select("word", "n").mapInArrow(_ends, _END)
+    word = F.when(F.col("side") == 1, F.reverse("text")).otherwise(F.col("text")).alias("word")
+    found = spent.join(ends.hint("shuffle_hash"), "goal").select(word, "near", "near_n")
     return found.where(F.levenshtein("word", "near") == 1).distinct()
 
 

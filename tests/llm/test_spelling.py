@@ -5,6 +5,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 
 from cohortmill.llm import spelling
 
@@ -78,3 +79,27 @@ def test_hashes_of_prefixes_and_goals():
 def test_pieces_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(spelling, "PIECE", 20)
     check(spark, [(1, "wanderers wanderer wandered candered anderers"), (2, "a" * 30 + " " + "a" * 31)], min_count=1)
+
+
+def test_one_join_whatever_the_nodes_on_a_path(spark, monkeypatch):
+    tables = []
+    kept = spelling.scratch_table
+    monkeypatch.setattr(spelling, "scratch_table", lambda df, label: tables.append(label) or kept(df, label))
+    known = spark.createDataFrame([("a" * n, n) for n in range(7, 40)], "word string, n long")
+    got = brute.collected(spelling.neighbours(known), "word", "near", "near_n")
+    assert got == sorted((("a" * n, "a" * m, m) for n in range(7, 40) for m in (n - 1, n + 1) if 7 <= m < 40), key=repr)
+    assert len(tables) == 2
+
+
+def test_states_leave_in_batches_of_bounded_letters(monkeypatch):
+    class All:
+        def holds(self, hashes):
+            return np.ones(len(hashes), dtype=bool)
+
+    monkeypatch.setattr(spelling, "PIECE", 100)
+    words = ["a" * 90, "b" * 8, "c" * 300, "d" * 9]
+    batches = list(spelling._starts(All())(iter([pa.RecordBatch.from_arrays([pa.array(words)], names=["word"])])))
+    sizes = [[len(text) for text in batch.column(1).to_pylist()] for batch in batches]
+    assert all(sum(s) <= 100 or len(s) == 1 for s in sizes)
+    # A node for every prefix from the middle on, in both tries.
+    assert sum(map(len, sizes)) == sum(2 * len(word) + 2 - len(word) // 2 - (len(word) - len(word) // 2) for word in words)
